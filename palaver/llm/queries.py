@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, quality, sharding
+from palaver.llm import bpe, quality, sharding, simhash
 from palaver.llm.common import table
 
 
@@ -16,7 +16,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe, "op3_quality_rules": quality.op3_quality_rules, "op8_hilbert_sharding": sharding.op8_hilbert_sharding}
+    return {"op1_simhash_near_dedup": simhash.op1_simhash_near_dedup, "op2_byte_bpe": op2_byte_bpe, "op3_quality_rules": quality.op3_quality_rules, "op8_hilbert_sharding": sharding.op8_hilbert_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
