@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, quality, sharding, simhash, suffixdedup
+from palaver.llm import bpe, decontaminate, ppm, quality, sharding, simhash, suffixdedup
 from palaver.llm.common import table
 
 
@@ -16,8 +16,8 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash_near_dedup": simhash.op1_simhash_near_dedup, "op2_byte_bpe": op2_byte_bpe, "op3_quality_rules": quality.op3_quality_rules, "op8_hilbert_sharding": sharding.op8_hilbert_sharding, "op10_suffix_array_dedup": suffixdedup.op10_suffix_array_dedup}
+    return {"op1_simhash_near_dedup": simhash.op1_simhash_near_dedup, "op2_byte_bpe": op2_byte_bpe, "op3_quality_rules": quality.op3_quality_rules, "op4_ppm_scores": ppm.op4_ppm_scores, "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination, "op8_hilbert_sharding": sharding.op8_hilbert_sharding, "op10_suffix_array_dedup": suffixdedup.op10_suffix_array_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_ppm_scores": ppm.op4_ppm_scores, "op5_benchmark_decontamination": decontaminate.ORACLE}
