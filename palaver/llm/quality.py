@@ -120,16 +120,24 @@ def judge(measures: DataFrame) -> DataFrame:
     """measures (a stored table, read twice) with base_failed and kept added."""
     limits = stored(fences(sketches(measures)))
     cols = [f"{c}_{r}" for r in RATIOS for c in ("low", "high")]
-    pick = lambda level, *keys: limits.where((F.col("level") == level) & ((F.col("total") >= MIN_GROUP) | (F.lit(level) == 2))).select(*[F.col(k).alias(f"__{k}") for k in keys], F.struct(*cols).alias(f"__l{level}"))
+    pick = lambda level, *keys: limits.where((F.col("level") == level) & (F.col("total") >= MIN_GROUP)).select(*[F.col(k).alias(f"__{k}") for k in keys], F.struct(*cols).alias(f"__l{level}"))
     same = lambda a: F.col(a).eqNullSafe(F.col(f"__{a}"))
     out = join_sized(measures, pick(0, "lang", "source"), same("lang") & same("source"), "left").drop("__lang", "__source")
     out = join_sized(out, pick(1, "lang"), same("lang"), "left").drop("__lang")
-    out = out.crossJoin(F.broadcast(pick(2).limit(1))) if not limits.isEmpty() else out.withColumn("__l2", F.col("__l1"))  # one row
-    use = F.coalesce("__l0", "__l1", "__l2")
+    every = limits.where(F.col("level") == 2).select(*cols).first()  # one row, of all documents
+    if every is None:
+        return out.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed")).drop("__l0", "__l1")
+    use = F.coalesce("__l0", "__l1", F.struct(*[F.lit(every[c]).cast("long").alias(c) for c in cols]))
     good = F.lit(True)
     for name, value in ratios().items():
         good = good & value.between(use[f"low_{name}"], use[f"high_{name}"])
-    return out.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & F.coalesce(good, F.lit(True))).drop("__l0", "__l1", "__l2")
+    return out.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & F.coalesce(good, F.lit(True))).drop("__l0", "__l1")
+
+
+def filtered(df: DataFrame) -> DataFrame:
+    """The rows of df that are kept, with df's columns, whatever their names."""
+    rows = df.select("doc_id", "text", "lang", "source", F.struct(*[F.col(c) for c in df.columns]).alias("__row"))
+    return judge(stored(measured(rows).drop("text"))).where("kept").select("__row.*")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

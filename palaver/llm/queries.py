@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, decontaminate, langid, ppm, quality, sharding, simhash, suffixdedup, toxicity
+from palaver.llm import bpe, decontaminate, htmltext, langid, ppm, quality, sharding, simhash, suffixdedup, toxicity
 from palaver.llm.common import table
 
 
@@ -16,7 +16,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash_near_dedup": simhash.op1_simhash_near_dedup, "op2_byte_bpe": op2_byte_bpe, "op3_quality_rules": quality.op3_quality_rules, "op4_ppm_scores": ppm.op4_ppm_scores, "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination, "op6_language_id": langid.op6_language_id, "op9_toxicity": toxicity.op9_toxicity, "op8_hilbert_sharding": sharding.op8_hilbert_sharding, "op10_suffix_array_dedup": suffixdedup.op10_suffix_array_dedup}
+    return {"op1_simhash_near_dedup": simhash.op1_simhash_near_dedup, "op2_byte_bpe": op2_byte_bpe, "op3_quality_rules": quality.op3_quality_rules, "op4_ppm_scores": ppm.op4_ppm_scores, "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination, "op6_language_id": langid.op6_language_id, "op7_html_main_text": htmltext.op7_html_main_text, "op9_toxicity": toxicity.op9_toxicity, "op8_hilbert_sharding": sharding.op8_hilbert_sharding, "op10_suffix_array_dedup": suffixdedup.op10_suffix_array_dedup}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palaver.llm.common import small_enough, stored, table
+from palaver.llm.common import join_sized, small_enough, stored, table
 from palaver.llm.components import components
 
 SEED = 42
@@ -36,6 +36,8 @@ SHINGLE = 3
 MAX_BITS = 3
 #: Homes at one anchor beyond which its members are dealt into slices of about so many.
 SLICE = 2000
+#: Ids that may be broadcast.
+NARROW_ROWS = 500_000
 #: Shingles that are hashed at a time, whatever the text's length.
 STEP = 1 << 17
 
@@ -197,9 +199,14 @@ def near_duplicates(df: DataFrame, shingle: int = SHINGLE, slice_size: int = SLI
 
 
 def deduplicated(df: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """df without all but one document of each component: the one with the least doc_id; of repeated rows one stays."""
-    keepers = near_duplicates(df, shingle).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return df.dropDuplicates(["doc_id"]).join(keepers, df["doc_id"].eqNullSafe(keepers["doc_id"]), "left_semi")
+    """df without all but one document of each component: the one with the least doc_id; of rows with one id one stays."""
+    ids = stored(near_duplicates(df, shingle).groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"), F.count("*").alias("n")))
+    gone, many = ids.where("not kept").select(F.col("doc_id").alias("__id")), ids.where("kept and n > 1").select(F.col("doc_id").alias("__id"))
+    same = df["doc_id"].eqNullSafe(F.col("__id"))
+    left = join_sized(df, gone, same, "left_anti", NARROW_ROWS)
+    if many.isEmpty():
+        return left
+    return join_sized(left, many, same, "left_anti", NARROW_ROWS).unionByName(join_sized(left, many, same, "left_semi", NARROW_ROWS).dropDuplicates(["doc_id"]))
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -455,5 +455,12 @@ def remove_repeats(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), with_text
     return meet(copies.unionByName(cuts), emit_result(kept, with_text), schema).withColumnsRenamed(dict(zip(kept, keep, strict=True)))
 
 
+def cleaned(df: DataFrame) -> DataFrame:
+    """df with its repeated passages cut out of text (null becomes empty) and n_chars, if there, set anew."""
+    rest = remove_repeats(df, keep=tuple(c for c in df.columns if c not in ("text", "n_chars")), with_text=True)
+    made = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return rest.select(*[made[c].alias(c) if c in made else F.col(c) for c in df.columns])
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
