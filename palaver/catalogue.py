@@ -1,9 +1,363 @@
-"""Every registered query and its SQL."""
+"""Every registered query of the dialogue engine, with the SQL that says the same.
 
+Utterance labels stand in for a model's: the length of the text modulo 3.
+"""
 
-def queries():
-    return {}
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def oracle_sql():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from palaver.functions import text as tx
+from palaver.operators import labeling, relational, sequence
+from palaver.plans import merge, pipeline
+from palaver.sources import readers
+from palaver.spec import GENERIC
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    """Registers a query under its function's name, with its SQL if there is one."""
+
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def utterances(spark: SparkSession, sf: str) -> DataFrame:
+    """conversations with role names and stand-in labels."""
+    df = pipeline.role_columns(table(spark, sf, "conversations"), GENERIC)
+    return df.drop("file_name").withColumn("empathy_kind", F.length("utterance") % 3)
+
+
+#: The same as a SQL subquery.
+U = "(select conv_id::varchar as conv_id, turn as utter_id, text as utterance, role as speaker, length(text) % 3 as empathy_kind from conversations)"
+#: Rows inside segments with segment numbers, as a list of common table expressions ending in `seg`.
+SEG = f"""u as {U},
+r as (select *, sum(case when empathy_kind <> 2 then 1 else 0 end) over (partition by conv_id order by utter_id) as run from u),
+f as (select *, max(case when empathy_kind <> 2 then empathy_kind end) over (partition by conv_id, run) as head,
+  count(case when empathy_kind = 2 then 1 end) over (partition by conv_id, run) as n2,
+  row_number() over (partition by conv_id, run order by utter_id) - 1 as pos from r),
+k as (select *, coalesce(head = 1 and n2 >= 1 and pos <= (case when n2 % 2 = 1 then n2 else n2 - 1 end), false) as keep from f),
+o as (select *, keep and not coalesce(lag(keep) over (partition by conv_id order by utter_id), false) as opens from k),
+seg as (select *, case when keep then (sum(opens::int) over (partition by conv_id order by utter_id) - 1)::bigint end as segment from o)"""
+
+
+@query(f"select conv_id, utter_id, (select count(distinct speaker) from {U} b where b.conv_id = a.conv_id)::int as num_party from {U} a")
+def party_count(spark, sf):
+    return relational.party_count(utterances(spark, sf)).select("conv_id", "utter_id", "num_party")
+
+
+@query(f"select conv_id, utter_id, speaker from {U} where conv_id in (select conv_id from {U} group by 1 having count(distinct speaker) = 2)")
+def two_party_filter(spark, sf):
+    return relational.two_party(utterances(spark, sf)).select("conv_id", "utter_id", "speaker")
+
+
+@query(f"""with a as (select *, length(utterance) % 2 as who from {U}), b as (select *, lag(who) over (partition by conv_id order by utter_id) as before from a)
+select conv_id, utter_id, who::varchar as speaker from b where conv_id in (select conv_id from b group by 1 having count(distinct who) = 2 and count(case when who = before then 1 end) = 0)""")
+def alternating_filter(spark, sf):
+    df = utterances(spark, sf).withColumn("speaker", (F.length("utterance") % 2).cast("string"))
+    return relational.alternating(df).select("conv_id", "utter_id", "speaker")
+
+
+SEQ = f"select conv_id, string_agg(empathy_kind::varchar, ', ' order by utter_id) as empathy_kind_seq from {U} group by 1"
+
+
+@query(f"select conv_id, empathy_kind_seq, contains(empathy_kind_seq, '1, 2')::int as contain_empathy_seq from ({SEQ})")
+def label_sequence(spark, sf):
+    return sequence.sequences(utterances(spark, sf))
+
+
+@query(f"select conv_id, utter_id, empathy_kind::int as empathy_kind from {U} join ({SEQ}) using (conv_id) where contains(empathy_kind_seq, '1, 2')")
+def seq_filter(spark, sf):
+    return sequence.empathetic(utterances(spark, sf)).select("conv_id", "utter_id", "empathy_kind")
+
+
+@query(f"with {SEG} select conv_id, utter_id, coalesce(segment, -1) as segment from seg")
+def segment_ids(spark, sf):
+    return sequence.segment_numbers(utterances(spark, sf)).select("conv_id", "utter_id", F.coalesce("segment", F.lit(-1)).cast("long").alias("segment"))
+
+
+@query(f"with {SEG} select conv_id || '_' || segment as new_conv_id, row_number() over (partition by conv_id, segment order by utter_id) - 1 as new_utter_idx, conv_id, utter_id, utterance, speaker, empathy_kind::int as empathy_kind from seg where segment is not null")
+def segmented_dialogue(spark, sf):
+    cols = ["new_conv_id", "new_utter_idx", "conv_id", "utter_id", "utterance", "speaker", "empathy_kind"]
+    return sequence.segmented(utterances(spark, sf)).select(*cols)
+
+
+@query(f"""with c as (select conv_id, speaker, count(utter_id) as n from {U} where empathy_kind = 2 group by 1, 2)
+select conv_id, speaker from c qualify row_number() over (partition by conv_id order by n desc, speaker) = 1""")
+def empathetic_speaker(spark, sf):
+    return relational.leading_speaker(utterances(spark, sf))
+
+
+MODE = "select {k}::varchar as k, '{t}' as source_table, v as mode_value from (select {k}, {v} as v, count(*) as n from {t} where {k} is not null and {v} is not null group by 1, 2) qualify row_number() over (partition by {k} order by n desc, v) = 1"
+
+
+@query(MODE.format(k="user_id", v="event_type", t="events") + " union all " + MODE.format(k="source", v="lang", t="documents"))
+def multi_annotation_mode(spark, sf):
+    one = lambda t, k, v: relational.first_mode(table(spark, sf, t).select(k, v), [k]).select(F.col(k).cast("string").alias("k"), F.lit(t).alias("source_table"), F.col(v).alias("mode_value"))
+    return one("events", "user_id", "event_type").unionByName(one("documents", "source", "lang"))
+
+
+@query(f"select conv_id, speaker, min(utter_id) as first_id from {U} group by 1, 2")
+def first_utterance(spark, sf):
+    return relational.first_per_group(utterances(spark, sf), ["conv_id", "speaker"], "utter_id", "first_id")
+
+
+@query(f"select conv_id, speaker, empathy_kind::int as empathy_kind, count(utter_id) as n from {U} group by 1, 2, 3")
+def label_counts(spark, sf):
+    return relational.count_per_group(utterances(spark, sf), ["conv_id", "speaker", "empathy_kind"], "utter_id")
+
+
+@query(f"select conv_id, utter_id, (utter_id * 2)::double as interval_start, coalesce(lead(utter_id * 2) over (partition by conv_id order by utter_id), 1000)::double as interval_end from {U}")
+def utterance_intervals(spark, sf):
+    df = utterances(spark, sf).withColumn("start", (F.col("utter_id") * 2).cast("double"))
+    return relational.intervals(df, "conv_id", "utter_id", "start", F.lit(1000.0)).select("conv_id", "utter_id", "interval_start", "interval_end")
+
+
+@query("select event_id, (hour(ts) * 3600 + minute(ts) * 60 + second(ts))::double as seconds from events")
+def clock_seconds(spark, sf):
+    return table(spark, sf, "events").select("event_id", tx.clock_seconds(F.date_format("ts", "HH:mm:ss")).alias("seconds"))
+
+
+@query("select page_id, split_part(split_part(split_part(url, '/', -1), 'watch?v=', -1), '&', 1) as video_id from pages")
+def url_tail_id(spark, sf):
+    return table(spark, sf, "pages").select("page_id", tx.url_tail_id(F.col("url")).alias("video_id"))
+
+
+@query("""select page_id, regexp_replace('a/' || page_id || '.mp4', '\\.[^./]+$', '.wav') as audio, split_part('a/' || page_id || '.mp4', 'mp4', 1) || '.wav' as audio_compatible,
+regexp_replace(url, '/[^/]*$', '') as folder, page_id || '_' || length(url) || '.wav' as file_name from pages""")
+def path_rewrite(spark, sf):
+    p = F.concat(F.lit("a/"), F.col("page_id").cast("string"), F.lit(".mp4"))
+    return table(spark, sf, "pages").select("page_id", tx.audio_path(p).alias("audio"), tx.audio_path(p, True).alias("audio_compatible"), tx.directory(F.col("url")).alias("folder"), tx.media_name(F.col("page_id"), F.length("url")).alias("file_name"))
+
+
+PUNC_SQL = tx.PUNCTUATION.replace("'", "''")
+
+
+@query(f"select doc_id, translate(lower(text), '{PUNC_SQL}', '{' ' * len(tx.PUNCTUATION)}') as cleaned from documents")
+def clean_text(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", tx.clean_text(F.col("text")).alias("cleaned"))
+
+
+def texts(spark, sf):
+    return utterances(spark, sf).groupBy("conv_id").agg(relational.ordered_list(F.col("utterance"), F.col("utter_id")).alias("t"))
+
+
+@query(f"select conv_id, string_agg('<BOU> ' || utterance || ' <EOU> ', '' order by utter_id) as conversation from {U} group by 1")
+def conversation_string(spark, sf):
+    return texts(spark, sf).select("conv_id", tx.conversation_string(F.col("t")).alias("conversation"))
+
+
+NUMBERED = f"select conv_id, string_agg(i || '. ' || utterance || chr(10), '' order by utter_id) as numbered from (select *, row_number() over (partition by conv_id order by utter_id) as i from {U}) group by 1"
+
+
+@query(NUMBERED)
+def numbered_prompt(spark, sf):
+    return texts(spark, sf).select("conv_id", tx.numbered(F.col("t")).alias("numbered"))
+
+
+@query(f"select conv_id, md5('{labeling.EMPATHY_SYSTEM}' || chr(10) || replace(replace('{labeling.EMPATHY_QUERY}', '{{conversation}}', numbered), '#none#', '')) as prompt_md5 from ({NUMBERED})")
+def prompt_text(spark, sf):
+    full = labeling.prompt(tx.numbered(F.col("t")), labeling.EMPATHY_SYSTEM, labeling.EMPATHY_QUERY)
+    return texts(spark, sf).select("conv_id", F.md5(full.cast("binary")).alias("prompt_md5"))
+
+
+@query("select item_id, replace(replace(replace(text, ' ', '\\n'), '\\n', chr(10)), '\\t', chr(9)) as plain from benchmark")
+def unescape(spark, sf):
+    return table(spark, sf, "benchmark").select("item_id", tx.unescape(F.replace("text", F.lit(" "), F.lit("\\n"))).alias("plain"))
+
+
+@query("""select vec_id, (list_position(embedding, list_max(embedding)) - 1)::int as best, (embedding[1]::double > 0.5)::float as high, (round(1 / (1 + exp(-embedding[1]::double)), 6))::double as squashed from embeddings""")
+def threshold_argmax(spark, sf):
+    x = F.col("embedding")[0].cast("double")
+    return table(spark, sf, "embeddings").select("vec_id", tx.argmax(F.col("embedding")).alias("best"), tx.above(x).alias("high"), F.round(tx.sigmoid(x), 6).alias("squashed"))
+
+
+@query("select vec_id, (label = 0)::int as c0, (label = 1)::int as c1, (label = 2)::int as c2 from embeddings")
+def one_hot(spark, sf):
+    v = tx.one_hot(F.col("label"), 3)
+    return table(spark, sf, "embeddings").select("vec_id", *[v[i].alias(f"c{i}") for i in range(3)])
+
+
+NAMES = "case x when 0 then 'none' when 1 then 'Empathy_seeker' else 'empathy_provider' end"
+#: Made-up responses: one line for each of three utterances; the label depends on id, response and place.
+ANSWER = {
+    "spark": "concat_ws('\\n', transform(sequence(0, {n}), i -> concat(i + 1, '.\\nReason: because ', i, '\\nLabel: ', element_at(array('none', 'Empathy_seeker', 'empathy_provider'), int((c * 7 + r * 5 + i) % 3) + 1))))",
+}
+
+
+def made_responses(spark, sf):
+    """conv_id, number, n_utter, response: four responses to three utterances; every fourth is one short."""
+    ids = table(spark, sf, "conversations").select(F.col("conv_id").alias("c")).distinct().withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    ids = ids.withColumn("m", F.when((F.col("c") + F.col("r")) % 4 == 0, 1).otherwise(2))
+    return ids.select(F.col("c").cast("string").alias("conv_id"), F.col("r").alias("number"), F.lit(3).alias("n_utter"), F.expr(ANSWER["spark"].format(n="m")).alias("response"))
+
+
+VOTES = f"select c, r, i, {NAMES} as label, 'because ' || i as reason from (select c, r, i, (c * 7 + r * 5 + i) % 3 as x from (select distinct conv_id as c from conversations), range(4) t(r), range(3) s(i) where i <= case when (c + r) % 4 = 0 then 1 else 2 end)"
+
+
+@query(f"select c::varchar as conv_id, r::int as number, i::int as position, label, reason from ({VOTES})")
+def parse_labels(spark, sf):
+    read = made_responses(spark, sf).select("conv_id", "number", F.posexplode(labeling.parsed_labels(F.col("response"))).alias("position", "p"))
+    return read.select("conv_id", "number", "position", "p.label", "p.reason")
+
+
+@query("""select c::varchar as conv_id, case when c % 3 = 2 then null when c % 2 = 0 then 'complete' else 'Incomplete' end as label, case when c % 3 = 2 then null else 'it flows ' || c || '. ' end as reason from (select distinct conv_id as c from conversations)""")
+def parse_completion(spark, sf):
+    c = table(spark, sf, "conversations").select(F.col("conv_id").alias("c")).distinct()
+    made = F.when(F.col("c") % 3 == 2, F.lit("I can not say")).otherwise(F.concat(F.lit("Reason: it flows "), F.col("c").cast("string"), F.lit(".\nThe final answer is: "), F.when(F.col("c") % 2 == 0, "complete").otherwise("Incomplete")))
+    return c.select(F.col("c").cast("string").alias("conv_id"), labeling.parsed_completion(made).alias("p")).select("conv_id", "p.label", "p.reason")
+
+
+@query(f"""with v as (select c, r, i, case label when 'none' then 0 when 'Empathy_seeker' then 1 else 2 end as k from ({VOTES}) where (c + r) % 4 <> 0),
+g as (select c, i, count(*) as n_votes, count(*) filter (k = 0) / count(*) as share_0, count(*) filter (k = 1) / count(*) as share_1, count(*) filter (k = 2) / count(*) as share_2 from v group by 1, 2)
+select c::varchar as conv_id, i::int as position, n_votes, share_0, share_1, share_2, (case when share_1 >= share_2 and share_1 >= share_0 then 1 when share_2 >= share_0 then 2 else 0 end)::int as label from g""")
+def vote_empathy(spark, sf):
+    return labeling.empathy_votes(made_responses(spark, sf), "conv_id", "response", "number", "n_utter").drop("reasons")
+
+
+@query("""with v as (select c, case when (c * 3 + r) % 4 = 0 then null when (c + r) % 2 = 0 then 1 else 0 end as k from (select distinct conv_id as c from conversations), range(3) t(r) where c % 5 <> 0 or r < 0),
+a as (select distinct conv_id as c from conversations), g as (select a.c, count(k) as n_votes, coalesce(count(*) filter (k = 1) / nullif(count(k), 0), 0.0)::double as share_1, coalesce(count(*) filter (k = 0) / nullif(count(k), 0), 0.0)::double as share_0 from a left join v on a.c = v.c group by 1)
+select c::varchar as conv_id, n_votes, share_1, share_0, (case when n_votes = 0 then -1 when share_1 >= share_0 then 1 else 0 end)::int as label from g""")
+def vote_complete(spark, sf):
+    c = table(spark, sf, "conversations").select(F.col("conv_id").alias("c")).distinct().withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    name = F.when((F.col("c") + F.col("r")) % 2 == 0, "complete").otherwise("incomplete")
+    said = F.when((F.col("c") % 5 == 0) | ((F.col("c") * 3 + F.col("r")) % 4 == 0), F.lit("no idea")).otherwise(F.concat(F.lit("Reason: x\nThe final answer is: "), name))
+    made = c.select(F.col("c").cast("string").alias("conv_id"), F.col("r").alias("number"), said.alias("response"))
+    return labeling.completion_votes(made, "conv_id", "response", "number").drop("reasons").withColumn("label", F.coalesce("label", F.lit(-1)))
+
+
+@query("select doc_id from labels where quality = 1")
+def complete_filter(spark, sf):
+    return relational.complete_only(table(spark, sf, "labels"), "quality").select("doc_id")
+
+
+@query(f"select '2_' || conv_id as conv_id, utter_id from {U}")
+def id_prefix(spark, sf):
+    return utterances(spark, sf).select(tx.prefixed_id(2, F.col("conv_id")).alias("conv_id"), "utter_id")
+
+
+@query("select conv_id, turn from conversations union all select conv_id + (select count(*) from conversations), turn from conversations where turn < 2")
+def id_offset(spark, sf):
+    df = table(spark, sf, "conversations").select("conv_id", "turn")
+    return readers.offset_union([df, df.where("turn < 2")], "conv_id")
+
+
+@query(f"select conv_id, utter_id, utterance, speaker, null::varchar as doc_id from {U} union all select source, doc_id, text, lang, doc_id::varchar from documents")
+def role_rename_union(spark, sf):
+    docs = table(spark, sf, "documents").withColumns({"id": F.col("doc_id"), "doc_id": F.col("doc_id").cast("string")})
+    a = utterances(spark, sf).select("conv_id", "utter_id", "utterance", "speaker")
+    b = merge.with_roles(docs, {"source": "conv_id", "id": "utter_id", "text": "utterance", "lang": "speaker"}).drop("n_chars")
+    return relational.union_all([a, b])
+
+
+SPLIT = f"""select conv_id, case when r <= t then 'train' when r <= t + round_even((g - t) * 0.5, 0)::bigint then 'test' else 'validation' end as split from (
+select *, round_even(g * 0.8, 0)::bigint as t from (select conv_id, row_number() over (order by md5('200' || conv_id), conv_id) as r, count(*) over () as g from (select distinct conv_id from {U})))"""
+
+
+@query(f"select conv_id, utter_id, split from {U} join ({SPLIT}) using (conv_id)")
+def group_split(spark, sf):
+    return relational.group_split(utterances(spark, sf), "conv_id").select("conv_id", "utter_id", "split")
+
+
+@query(f"select split, count(distinct conv_id) as conversations, 0::bigint as leaked from ({SPLIT}) group by 1")
+def split_leakage(spark, sf):
+    df = relational.group_split(utterances(spark, sf), "conv_id")
+    leaked = df.join(merge.leakage(df), "conv_id", "left")
+    return leaked.groupBy("split").agg(F.count_distinct("conv_id").alias("conversations"), F.count("n_splits").alias("leaked"))
+
+
+@query(f"""with d as (select distinct conv_id from {U} where conv_id::bigint % 3 = 0), n as (select *, dense_rank() over (order by conv_id) as g from {U} where conv_id not in (select conv_id from d))
+select conv_id, utter_id from n where g <= 20""")
+def chunk_groups(spark, sf):
+    df = utterances(spark, sf)
+    return relational.next_chunk(df, df.where(F.col("conv_id").cast("long") % 3 == 0), "conv_id", 20).select("conv_id", "utter_id")
+
+
+@query(f"select (select count(*) from {U} where empathy_kind <> 2) as unprocessed, count(*) as total from {U}")
+def unprocessed_count(spark, sf):
+    df = utterances(spark, sf)
+    return spark.createDataFrame([relational.unprocessed_count(df, df.where("empathy_kind = 2"))], "unprocessed long, total long")
+
+
+@query(f"""with u as {U}, l as (select *, max(utter_id) over (partition by conv_id) as m from u)
+select conv_id, row_number() over (partition by conv_id order by utter_id) - 1 as utter_id, utterance, speaker, case when utter_id = m then 'target' else 'context' end as type_utter from l""")
+def context_target_rows(spark, sf):
+    one = utterances(spark, sf).groupBy("conv_id").agg(relational.ordered_list(F.struct("utterance", "speaker"), F.col("utter_id")).alias("t"))
+    last = F.element_at("t", -1)
+    before = F.expr("slice(t, 1, size(t) - 1)")
+    rec = one.select("conv_id", F.lit("").alias("record_id"), last["utterance"].alias("utterance"), last["speaker"].alias("speaker"), F.transform(before, lambda x: x["utterance"]).alias("context"), F.transform(before, lambda x: x["speaker"]).alias("context_speakers"), F.lit(False).alias("sarcasm"))
+    return readers.context_rows(rec).select("conv_id", "utter_id", "utterance", "speaker", "type_utter")
+
+
+@query(f"select conv_id, utter_id, utterance, speaker from {U}")
+def json_flatten(spark, sf):
+    record = F.struct(F.col("utter_id").cast("string").alias("k"), F.struct("conv_id", "utter_id", "utterance", "speaker").alias("v"))
+    inner = utterances(spark, sf).groupBy("conv_id").agg(F.map_from_entries(F.collect_list(record)).alias("m"))
+    text = inner.select(F.to_json(F.create_map(F.col("conv_id"), F.col("m"))).alias("j"))
+    schema = "map<string,map<string,struct<conv_id:string,utter_id:bigint,utterance:string,speaker:string>>>"
+    return readers.nested_records(text.select(F.from_json("j", schema).alias("doc")))
+
+
+@query(f"select conv_id, utter_id from {U} where conv_id in (select conv_id from {U} where empathy_kind = 1)")
+def semi_join_keys(spark, sf):
+    df = utterances(spark, sf)
+    return relational.semi(df, df.where("empathy_kind = 1").select("conv_id").distinct(), "conv_id").select("conv_id", "utter_id")
+
+
+@query(f"select a.conv_id, a.utter_id, a.speaker, (b.empathy_kind * 10)::int as tenfold from {U} a join {U} b on a.conv_id = b.conv_id and a.utter_id = b.utter_id")
+def composite_join(spark, sf):
+    df = utterances(spark, sf)
+    facts = df.select("conv_id", "utter_id", (F.col("empathy_kind") * 10).alias("tenfold"))
+    return relational.enriched(df.select("conv_id", "utter_id", "speaker"), facts, "conv_id", "utter_id")
+
+
+@query(f"select distinct conv_id, speaker from {U}")
+def distinct_pairs(spark, sf):
+    return utterances(spark, sf).select("conv_id", "speaker").distinct()
+
+
+@query(f"select conv_id, utter_id, utterance from {U}")
+def parallel_explode(spark, sf):
+    u = utterances(spark, sf).groupBy("conv_id").agg(relational.ordered_list(F.col("utterance"), F.col("utter_id")).alias("utterance"), F.array_sort(F.collect_list("utter_id")).alias("utter_id"))
+    return relational.exploded_together(u, "utter_id", "utterance").select("conv_id", "utter_id", "utterance")
+
+
+@query(f"with {SEG} select conv_id || '_' || segment as conv_id, row_number() over (partition by conv_id, segment order by utter_id) - 1 as utter_id, utterance, speaker, null::varchar as file_name from seg where segment is not null")
+def final_projection(spark, sf):
+    df = sequence.segmented(utterances(spark, sf)).withColumn("file_name", F.lit(None).cast("string"))
+    return pipeline.final_columns(df, ())
+
+
+MERGED = f"""with a as (select '0_' || conv_id as conv_id, utter_id, utterance, speaker, null::varchar as extra, 0 as src from {U}
+union all select '1_' || conv_id, utter_id, utterance, speaker, 'x', 1 from {U} where utter_id < 3),
+g as (select *, row_number() over (partition by src order by md5('200' || conv_id), conv_id) as r, count(*) over (partition by src) as g from (select distinct src, conv_id from a)),
+t as (select *, round_even(g * 0.8, 0)::bigint as t from g)
+select a.conv_id, utter_id, utterance, speaker, extra, case when r <= t then 'train' when r <= t + round_even((g - t) * 0.5, 0)::bigint then 'test' else 'validation' end as split from a join t using (src, conv_id)"""
+
+
+@query(MERGED)
+def merged_sources(spark, sf):
+    df = utterances(spark, sf).select("conv_id", "utter_id", "utterance", "speaker")
+    return merge.merged({"first": df, "second": df.where("utter_id < 3").withColumn("extra", F.lit("x"))})
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
