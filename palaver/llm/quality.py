@@ -28,7 +28,7 @@ MAX_REPEATED_PERCENT = 50
 MIN_GROUP = 200
 WIDTH = 3
 #: Ratio -> (per how many, least distance of the quartiles). symbols and dup_lines and repeats have no lower fence.
-RATIOS = {"symbols": 60, "dup_lines": 80, "repeats": 60, "word_length": 60}
+RATIOS = {"symbols": 60, "dup_lines": 120, "repeats": 120, "word_length": 60}
 LOWER = ("word_length",)
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -144,3 +144,30 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     measures = stored(measured(docs).drop("text"))
     return judge(measures).select("doc_id", *BASE, "base_failed", "kept")
+
+
+_RATIO_SQL = {"symbols": "coalesce(n_symbols * 1000 // nullif(n_words, 0), 0)", "dup_lines": "coalesce(n_dup_lines * 1000 // nullif(n_lines, 0), 0)", "repeats": "coalesce(n_repeat_words * 1000 // nullif(n_words, 0), 0)", "word_length": "coalesce(word_chars * 100 // nullif(n_words, 0), 0)"}
+_VALUES_SQL = " union all ".join(f"select lang, source, '{k}' as ratio, {v} as v, {RATIOS[k]} as least, {int(k in LOWER)} as lower from m where not base_failed" for k, v in _RATIO_SQL.items())
+_INSIDE_SQL = " and ".join(f"({v} between pick['{k}'].low and pick['{k}'].high)" for k, v in _RATIO_SQL.items())
+#: The same by exact tables in SQL; the sketch's buckets are whole numbers in both.
+ORACLE = f"""
+with w as (select row_number() over () as rid, doc_id, lang, source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as ws,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as ls from documents),
+t as (select rid, i, s from (select rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as s from (select rid, ws, unnest(range(1, len(ws) - 1)) as i from w)) qualify count(*) over (partition by rid, s) > 1),
+c as (select rid, count(distinct p) as n from (select rid, unnest([i, i + 1, i + 2]) as p from t) group by 1),
+b as (select w.rid, doc_id, lang, source, len(ws)::bigint as n_words, length(array_to_string(ws, ''))::bigint as word_chars, (length(text) - length(translate(text, '#*$%&|<>', '')))::bigint as n_symbols,
+  len(ls)::bigint as n_lines, (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, coalesce(n, 0)::bigint as n_repeat_words from w left join c using (rid)),
+m as (select *, n_words < {MIN_WORDS} or n_repeat_words * 100 > n_words * {MAX_REPEATED_PERCENT} as base_failed from b),
+v as ({_VALUES_SQL}),
+k as (select lang, source, ratio, least, lower, (v >> greatest(length(bin(v)) - 7, 0)) << greatest(length(bin(v)) - 7, 0) as bucket from v),
+s as (select 0 as level, lang, source, ratio, least, lower, bucket, count(*) as n from k group by all
+  union all select 1, lang, null, ratio, least, lower, bucket, count(*) from k group by all
+  union all select 2, null, null, ratio, least, lower, bucket, count(*) from k group by all),
+u as (select *, sum(n) over (partition by level, lang, source, ratio order by bucket) as cum, sum(n) over (partition by level, lang, source, ratio) as total from s),
+q as (select level, lang, source, ratio, max(least) as least, max(lower) as lower, max(total) as total, min(bucket) filter (cum * 100 >= total * 25) as q1, min(bucket) filter (cum * 100 >= total * 75) as q3 from u group by 1, 2, 3, 4),
+f as (select level, lang, source, max(total) as total, map_from_entries(list((ratio, {{'low': case when lower = 1 then q1 - {WIDTH} * greatest(q3 - q1, least) else 0 end, 'high': q3 + {WIDTH} * greatest(q3 - q1, least)}}))) as fence from q group by 1, 2, 3),
+j as (select m.*, coalesce(f0.fence, f1.fence, f2.fence) as pick from m
+  left join f f0 on f0.level = 0 and f0.total >= {MIN_GROUP} and f0.lang is not distinct from m.lang and f0.source is not distinct from m.source
+  left join f f1 on f1.level = 1 and f1.total >= {MIN_GROUP} and f1.lang is not distinct from m.lang left join f f2 on f2.level = 2)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and coalesce({_INSIDE_SQL}, true) as kept from j
+"""
