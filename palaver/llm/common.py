@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Spark removes a query's shuffle files when it ends, as nothing but its table is read afterwards.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Raw text bytes that one block of documents holds on average (see `n_blocks`).
 BLOCK_BYTES = 24 << 20
 
@@ -39,7 +41,12 @@ def stored(df: DataFrame) -> DataFrame:
     """The same rows, read back from a table in shared storage: evaluated once, safe from lost executors."""
     spark = df.sparkSession
     path = scratch(spark)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

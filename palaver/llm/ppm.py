@@ -32,22 +32,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palaver.llm.common import id_remainder, n_blocks, table
+from palaver.llm.common import id_remainder, n_blocks, stored, table
 
 ORDER = 5
 START = b"\n" * ORDER
 END_WORD = b""
 CHUNK = 2 << 20
-GRAM, WORD, TOTAL = 0, 1, 2
-COUNTS = "kind int, key long, block int, n long"
-
-
-def signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
+#: A gram's key is below TOTAL, a word's is negative; the corpus's sums stand at the two keys from TOTAL on.
+TOTAL = 1 << 60
+COUNTS = "key long, block int, n long"
 
 
 def word_key(word: bytes) -> int:
-    return signed(xxhash.xxh64_intdigest(word))
+    return (xxhash.xxh64_intdigest(word) >> 1) - (1 << 63)
 
 
 def grams(data: bytes) -> np.ndarray:
@@ -127,10 +124,9 @@ def block_counts(docs: pa.Table) -> pa.Table:
     key, n = _add(parts)
     words.update({w: 0 for w in held if w not in words})
     words[END_WORD] = lines[0]
-    kind = np.repeat(np.array([GRAM, WORD, TOTAL], np.int32), (len(key), len(words), 2))
-    keys = np.concatenate((key, np.fromiter(map(word_key, words), np.int64, len(words)), [0, 1]))
+    keys = np.concatenate((key, np.fromiter(map(word_key, words), np.int64, len(words)), [TOTAL, TOTAL + 1]))
     counts = np.concatenate((n, np.fromiter(words.values(), np.int64, len(words)), [0, 0]))
-    return pa.table({"kind": kind, "key": keys, "block": np.full(len(keys), docs.column("block")[0].as_py(), np.int32), "n": counts})
+    return pa.table({"key": keys, "block": np.full(len(keys), docs.column("block")[0].as_py(), np.int32), "n": counts})
 
 
 def log_probabilities(key, count, c1, n1, q1, c0, x0, n0, q0) -> np.ndarray:
@@ -192,15 +188,15 @@ def probability_rows(batches):
     value = log_probabilities(*columns)
     for at in range(0, len(value), 100_000):
         k, v = columns[0][at : at + 100_000], value[at : at + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), GRAM, np.int32)), pa.array(k), pa.array(v)], ["kind", "key", "value"])
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(v)], ["key", "value"])
 
 
 def block_scores(keep: list[str]):
     def run(docs: pa.Table, model: pa.Table) -> pa.Table:
-        kind, key, value = (model.column(c).to_numpy() for c in ("kind", "key", "value"))
-        own = lambda k: pd.Series(value[kind == k], pd.Index(key[kind == k]))
-        gram, word, total = own(GRAM), own(WORD), own(TOTAL)
-        n_all, v_all = (float(total.get(i, 0.0)) for i in (0, 1))
+        key, value = (model.column(c).to_numpy() for c in ("key", "value"))
+        own = lambda use: pd.Series(value[use], pd.Index(key[use]))
+        gram, word, total = own((key >= 0) & (key < TOTAL)), own(key < 0), own(key >= TOTAL)
+        n_all, v_all = (float(total.get(TOTAL + i, 0.0)) for i in (0, 1))
         place: dict[bytes, int] = {END_WORD: 0}
         rows: list[np.ndarray] = []
         score = np.zeros(docs.num_rows)
@@ -237,10 +233,10 @@ def scores(df: DataFrame, mod: int = 7, held: int = 2, keep: tuple[str, ...] = (
     own = [F.col(c).alias(f"__keep_{i}") for i, c in enumerate(keep)]
     block = F.pmod(F.xxhash64("doc_id", F.xxhash64(text)), F.lit(blocks)).cast("int")
     docs = df.select(*own, text.alias("__text"), (id_remainder(F.col("doc_id"), mod) != held).alias("__train"), block.alias("block")).repartition(deal, "block")
-    counts = docs.groupBy("block").applyInArrow(block_counts, COUNTS).repartition("kind", "key")
-    sums = counts.groupBy("kind", "key").agg(F.sum("n").alias("c"))
+    counts = stored(docs.groupBy("block").applyInArrow(block_counts, COUNTS))
+    sums = stored(counts.groupBy("key").agg(F.sum("n").alias("c")))
 
-    gram = sums.where(F.col("kind") == GRAM)
+    gram = sums.where((F.col("key") >= 0) & (F.col("key") < TOTAL))
     pairs = gram.groupBy(F.col("key").bitwiseAND(0xFFFF).alias("pair")).agg(F.sum("c").alias("c1"))
     symbol, context = F.col("pair").bitwiseAND(0xFF), F.shiftright("pair", 8)
     singles = pairs.groupBy(symbol.alias("s")).agg(F.sum("c1").alias("c0"))  # 256 rows at most
@@ -251,13 +247,13 @@ def scores(df: DataFrame, mod: int = 7, held: int = 2, keep: tuple[str, ...] = (
         "n1": F.sum("c1").over(one), "q1": F.sum((F.col("c1") > 0).cast("long")).over(one), "x0": F.sum(F.when(F.col("c1") > 0, F.col("c0")).otherwise(0)).over(one),
     }).select("pair", *LOW)
     wide = gram.withColumn("pair", F.col("key").bitwiseAND(0xFFFF)).join(F.broadcast(low), "pair").withColumn("suffix", F.shiftright("key", 8).bitwiseAND(0xFFFF))
-    probabilities = wide.select("key", "c", *LOW, "suffix").repartition("suffix").mapInArrow(probability_rows, "kind int, key long, value double")
+    probabilities = wide.select("key", "c", *LOW, "suffix").repartition("suffix").mapInArrow(probability_rows, "key long, value double")
 
-    word = sums.where((F.col("kind") == WORD) & (F.col("c") > 0))
+    word = sums.where((F.col("key") < 0) & (F.col("c") > 0))
     totals = word.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"))
-    total = totals.select(F.explode(F.array(F.struct(F.lit(0).cast("long").alias("key"), F.col("n").alias("x")), F.struct(F.lit(1).cast("long").alias("key"), F.col("v").alias("x")))).alias("t"))
-    values = probabilities.unionByName(word.select("kind", "key", F.col("c").cast("double").alias("value"))).unionByName(total.select(F.lit(TOTAL).alias("kind"), "t.key", F.col("t.x").cast("double").alias("value")))
-    model = counts.select("kind", "key", "block").join(values, ["kind", "key"]).select("block", "kind", "key", "value")
+    total = totals.select(F.explode(F.array(*[F.struct(F.lit(TOTAL + i).alias("key"), F.col(c).cast("double").alias("value")) for i, c in enumerate(("n", "v"))])).alias("t")).select("t.*")
+    values = stored(probabilities.unionByName(word.select("key", F.col("c").cast("double").alias("value"))).unionByName(total))
+    model = counts.select("key", "block").join(values, "key").select("block", "key", "value")
 
     kept = [f"__keep_{i}" for i in range(len(keep))]
     fields = [T.StructField(c, df.schema[k].dataType) for c, k in zip(kept, keep, strict=True)]
