@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 NOBODY = "\0nobody"
 
@@ -121,9 +122,10 @@ def unprocessed_count(before: DataFrame, after: DataFrame | None) -> tuple[int,
     if after is None:
         return total, total
     shared = [c for c in before.columns if c in after.columns]
-    a, b = before.alias("a"), after.select(*shared).distinct().alias("b")
-    on = reduce(lambda x, y: x & y, (F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in shared))
-    return a.join(b, on, "left_anti").count(), total
+    # Maps can not be compared, their JSON can.
+    plain = lambda df, side: df.select(*[(F.to_json(c) if isinstance(df.schema[c].dataType, MapType) else F.col(c)).alias(f"{side}_{c}") for c in shared])
+    on = reduce(lambda x, y: x & y, (F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")) for c in shared))
+    return plain(before, "a").join(plain(after, "b"), on, "left_anti").count(), total
 
 
 def group_split(df: DataFrame, conv: str, by: Sequence[str] = (), seed: int = 200, train: float = 0.8, test: float = 0.5, name: str = "split") -> DataFrame:
