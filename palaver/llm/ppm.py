@@ -22,8 +22,6 @@ null doc_id is not held out; an empty table gives an empty result; other columns
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -43,8 +41,10 @@ TOTAL = 1 << 60
 COUNTS = "key long, block int, n long"
 
 
-def word_key(word: bytes) -> int:
-    return (xxhash.xxh64_intdigest(word) >> 1) - (1 << 63)
+def word_keys(words: list[bytes]) -> np.ndarray:
+    """63 bits of each word's hash under the sign bit."""
+    h = np.array(list(map(xxhash.xxh64_intdigest, words)), np.uint64)
+    return ((h >> np.uint64(1)) | np.uint64(1 << 63)).view(np.int64)
 
 
 def grams(data: bytes) -> np.ndarray:
@@ -100,32 +100,29 @@ def _add(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nda
 def block_counts(docs: pa.Table) -> pa.Table:
     """Contexts and words of a block with their counts in its training documents (0: only in held-out ones)."""
     train = docs.column("__train").to_numpy()
-    words, held = Counter(), set()
-    lines: list[int] = [0]
+    seen: dict[bool, list[np.ndarray]] = {True: [], False: []}
+    lines = 0
 
     def coded():
         for i, ws in _coded(docs.column("__text")):
-            if train[i]:
-                words.update(ws)
-                lines[0] += 1
-            else:
-                held.update(ws)
+            seen[bool(train[i])].append(word_keys(ws))
             yield i, b" ".join(ws) + b"\n"
 
-    parts = []
+    parts, words = [], []
     for group in _chunks(coded()):
         for learn in (True, False):
             own = [g for g in group if bool(train[g[0]]) == learn]
-            if own:
-                key, n = np.unique(_inside(own)[0], return_counts=True)
-                parts.append((key, n if learn else np.zeros(len(n), np.int64)))
-        if len(parts) > 16:
-            parts = [_add(parts)]
-    key, n = _add(parts)
-    words.update({w: 0 for w in held if w not in words})
-    words[END_WORD] = lines[0]
-    keys = np.concatenate((key, np.fromiter(map(word_key, words), np.int64, len(words)), [TOTAL, TOTAL + 1]))
-    counts = np.concatenate((n, np.fromiter(words.values(), np.int64, len(words)), [0, 0]))
+            lines += len(own) * learn
+            for into, keys in ((parts, _inside(own)[0] if own else None), (words, np.concatenate(seen[learn]) if seen[learn] else None)):
+                if keys is not None:
+                    key, n = np.unique(keys, return_counts=True)
+                    into.append((key, n if learn else np.zeros(len(n), np.int64)))
+            seen[learn].clear()
+        if len(parts) > 8:
+            parts, words = [_add(parts)], [_add(words)]
+    words.append((word_keys([END_WORD]), np.array([lines])))
+    (key, n), (word, times) = _add(parts), _add(words)
+    keys, counts = np.concatenate((key, word, [TOTAL, TOTAL + 1])), np.concatenate((n, times, [0, 0]))
     return pa.table({"key": keys, "block": np.full(len(keys), docs.column("block")[0].as_py(), np.int32), "n": counts})
 
 
@@ -197,28 +194,28 @@ def block_scores(keep: list[str]):
         own = lambda use: pd.Series(value[use], pd.Index(key[use]))
         gram, word, total = own((key >= 0) & (key < TOTAL)), own(key < 0), own(key >= TOTAL)
         n_all, v_all = (float(total.get(TOTAL + i, 0.0)) for i in (0, 1))
-        place: dict[bytes, int] = {END_WORD: 0}
-        rows: list[np.ndarray] = []
         score = np.zeros(docs.num_rows)
-        logs = gram.to_numpy()
+        base, known, tokens = (np.zeros(docs.num_rows, t) for t in (np.float64, np.int64, np.int64))
+        logs, least = gram.to_numpy(), np.log10(1 / (n_all + v_all + 1))
+        word_logs = np.log10((word.to_numpy() + 1) / (n_all + v_all + 1))
 
         def coded():
             for i, ws in _coded(docs.column("__text")):
-                rows.append(np.fromiter((place.setdefault(w, len(place)) for w in ws), np.int32, len(ws)))
+                at = word.index.get_indexer(word_keys([*ws, END_WORD]))
+                hit = at >= 0
+                tokens[i], known[i] = len(at), hit.sum()
+                base[i] = word_logs[at[hit]].sum() + least * (len(at) - known[i])
                 yield i, b" ".join(ws) + b"\n"
 
         for group in _chunks(coded()):
             keys, at = _inside(group)
             score[[i for i, _ in group]] = np.add.reduceat(logs[gram.index.get_indexer(keys)], at)
-        c = word.reindex(np.fromiter(map(word_key, place), np.int64, len(place)), fill_value=0.0).to_numpy()
-        base = np.log10((c + 1) / (n_all + v_all + 1))
-        known = c > 0
         made = {k: docs.column(k) for k in keep}
         made["held_out"] = pa.array(~docs.column("__train").to_numpy(zero_copy_only=False).astype(bool))
-        made["n_tokens"] = pa.array([len(r) + 1 for r in rows], pa.int64())
-        made["n_known"] = pa.array([int(known[r].sum() + known[0]) for r in rows], pa.int64())
-        made["train_tokens"] = pa.array(np.full(len(rows), int(n_all)), pa.int64())
-        made["base_score"] = pa.array([float(base[r].sum() + base[0]) for r in rows], pa.float64())
+        made["n_tokens"] = pa.array(tokens)
+        made["n_known"] = pa.array(known)
+        made["train_tokens"] = pa.array(np.full(docs.num_rows, int(n_all)), pa.int64())
+        made["base_score"] = pa.array(base)
         made["score"] = pa.array(score)
         return pa.table(made)
 
