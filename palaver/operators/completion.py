@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from palaver.functions.text import conversation_string, numbered, unescape
 from palaver.operators import labeling
 from palaver.operators.relational import grouped, ordered_list
+from palaver.shipping import ship
 
 IDLE_ROUNDS = 6
 DONE_SHARE = 0.4
@@ -94,6 +95,7 @@ def rounds(completer: Completer, prompt, valid: Callable[[str], bool], number: i
 
 def responses(df: DataFrame, completer: Completer, conv: str, utter: str, text: str, kind: str, number: int, partitions: int | None = None) -> DataFrame:
     """conv, n_utter, number, response: valid answers about each conversation. Write it before it is used twice."""
+    ship(df.sparkSession)
     system, query = (labeling.EMPATHY_SYSTEM, labeling.EMPATHY_QUERY) if kind == "empathy" else (labeling.COMPLETION_SYSTEM, labeling.COMPLETION_QUERY)
     least = max(3 if kind == "empathy" else 1, int(number * DONE_SHARE))
     texts = grouped(df, conv).groupBy(conv).agg(ordered_list(F.coalesce(F.col(text), F.lit("")), F.col(utter)).alias("t"))
@@ -139,6 +141,7 @@ def classified(df: DataFrame, kind_model: Callable[[], Callable], exist_model: C
     """
     from pyspark.ml.functions import predict_batch_udf
 
+    ship(df.sparkSession)
     kind = predict_batch_udf(kind_model, return_type=T.IntegerType(), batch_size=256)
     exist = predict_batch_udf(exist_model, return_type=T.FloatType(), batch_size=64)
     whole = grouped(df, conv).groupBy(conv).agg(conversation_string(ordered_list(F.coalesce(F.col(text), F.lit("")), F.col(utter))).alias("__t"))
