@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from palaver.llm.common import join_sized, small_enough, stored, table
 from palaver.llm.components import components
+from palaver.shipping import ship
 
 SEED = 42
 SHINGLE = 3
@@ -63,6 +64,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(df: DataFrame, shingle: int = SHINGLE, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns `keep` and fp: the fingerprint as a long with the same 64 bits."""
+    ship(df.sparkSession)
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField("fp", T.LongType())])
 
     def run(batches):
@@ -128,6 +130,7 @@ def _group_links(homes: np.ndarray, members: np.ndarray, max_bits: int) -> list[
 
 def anchor_links(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """a, b: links between different fingerprints found at the anchors."""
+    ship(rows.sparkSession)
     key = ["anchor", "cell"]
     dealt = rows.repartition(*key).sortWithinPartitions(*key, F.desc("home"), "fp")
 

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from palaver.llm.common import n_blocks, table
+from palaver.shipping import ship
 
 LENGTH = 100
 GRAM = 40
@@ -431,6 +432,7 @@ def emit_result(keep: list[str], with_text: bool):
 def remove_repeats(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Columns `keep`, n_bytes, n_removed, n_spans, kept_sha256, and with_text the rest as kept_text."""
     spark = df.sparkSession
+    ship(spark)
     blocks = n_blocks(df, "text", block_bytes)
     deal = max(blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))
     text = F.coalesce(F.col("text"), F.lit(""))
