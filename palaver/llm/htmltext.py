@@ -43,12 +43,12 @@ SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table",
 #: Words of class, id and role, and what they tell.
 HINTS = {
     "ad": "ad ads advert advertisement advertising adbox adslot banner sponsor sponsored promo promotion promoted outbrain taboola teaser",
-    "nav": "nav navbar navigation menu breadcrumb breadcrumbs pagination pager tabs toc skip sitemap topbar toolbar",
+    "nav": "nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager tabs toc skip sitemap topbar toolbar",
     "head": "header masthead head logo brand top hero",
-    "foot": "footer foot bottom copyright colophon legal",
-    "side": "sidebar aside side rail widget widgets related recommended popular trending more tags tag social share sharing newsletter subscribe author bio meta byline",
-    "notice": "cookie cookies consent gdpr notice popup modal overlay alert privacy paywall signup banner",
-    "comments": "comment comments reply replies disqus respond discussion thread",
+    "foot": "footer foot bottom copyright colophon legal contentinfo",
+    "side": "sidebar aside side rail widget widgets related recommended popular trending more tags tag social share sharing newsletter subscribe author bio meta byline complementary",
+    "notice": "cookie cookies notices cookiebar dialog consent gdpr notice popup modal overlay alert privacy paywall signup banner",
+    "comments": "comment comments commentlist commenter reply replies disqus respond discussion thread",
     "form": "form search login contact",
     "hidden": "hidden invisible none print sr only",
     "main": "article content post entry main story body text page prose markdown",
@@ -61,7 +61,10 @@ for _g, _words in enumerate(HINTS.values()):
 TAGS = ["article", "main", "section", "div", "p", "h1", "h2", "h3", "ul", "ol", "li", "nav", "header", "footer", "aside", "form", "table", "td", "blockquote", "pre", "figure", "figcaption", "button", "label", "select", "body", "html", "dialog", "dl", "address"]
 TAG_AT = {t: i for i, t in enumerate(TAGS)} | {"h4": TAGS.index("h3"), "h5": TAGS.index("h3"), "h6": TAGS.index("h3"), "th": TAGS.index("td"), "menu": TAGS.index("nav"), "search": TAGS.index("form"), "fieldset": TAGS.index("form"), "option": TAGS.index("select"), "dt": TAGS.index("dl"), "dd": TAGS.index("dl")}
 N_TAGS = len(TAGS)
-EXTRA = ["bias", "own_text", "long_text", "all_link", "some_link", "short", "sentence", "in_article", "h1_in", "hidden_attr", "own_comma", "first_level", "input_in"]
+EXTRA = ["bias", "own_text", "long_text", "all_link", "some_link", "short", "sentence", "in_article", "h1_in", "hidden_attr", "own_comma", "first_level", "input_in", "junk_above", "junk_here"]
+#: Tags and hints that mark what is not the article, for the two features about them.
+JUNK_TAGS = {"nav", "footer", "aside", "form", "button", "dialog", "menu", "select", "label"}
+JUNK_HINTS = {GROUPS.index(g) for g in ("ad", "nav", "foot", "side", "notice", "comments", "form", "hidden")}
 SIZE = N_TAGS + len(GROUPS) + len(EXTRA)
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTR = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden|aria-label|itemprop)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
@@ -173,7 +176,7 @@ def parse(page: str) -> tuple[list[Node], int]:
 
 def vectors(nodes: list[Node]) -> np.ndarray:
     x = np.zeros((len(nodes), SIZE), np.float32)
-    inside = [False] * len(nodes)
+    inside, junk = [False] * len(nodes), [False] * len(nodes)
     has_h1 = [False] * len(nodes)
     inputs = [n.inputs for n in nodes]
     for i in range(len(nodes) - 1, 0, -1):
@@ -203,6 +206,10 @@ def vectors(nodes: list[Node]) -> np.ndarray:
         row[base + 10] = own.count(",") > 1
         row[base + 11] = n.depth == 2
         row[base + 12] = inputs[i] > 0
+        above = i > 0 and junk[n.parent]
+        here = n.tag in JUNK_TAGS or n.hidden or bool(n.hints & JUNK_HINTS) and GROUPS.index("main") not in n.hints
+        junk[i] = above or here
+        row[base + 13], row[base + 14] = above, here
     return x
 
 
@@ -227,7 +234,7 @@ def messages(nodes: list[Node], unary: np.ndarray, psi: tuple[float, float, floa
     return full, up, without
 
 
-def fit(pages: list[str], labels: list[list[int]], rounds: int = 150, rate: float = 0.15, ridge: float = 0.02) -> tuple[np.ndarray, tuple[float, float, float, float]]:
+def fit(pages: list[str], labels: list[list[int]], rounds: int = 200, rate: float = 0.15, ridge: float = 0.02) -> tuple[np.ndarray, tuple[float, float, float, float]]:
     """Weights and edge potentials of greatest likelihood; labels: of each page's nodes, in parse order."""
     trees = [parse(p)[0] for p in pages]
     xs = [vectors(t) for t in trees]
@@ -255,7 +262,7 @@ def fit(pages: list[str], labels: list[list[int]], rounds: int = 150, rate: floa
     return w, tuple(map(float, psi))
 
 
-def labelled_pages(count: int = 240, seed: int = 5) -> tuple[list[str], list[list[int]]]:
+def labelled_pages(count: int = 300, seed: int = 5) -> tuple[list[str], list[list[int]]]:
     """Pages in random layouts, and the label of each block node in page order (the root first)."""
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice(["ta", "ri", "no", "el", "su", "mo", "ka", "pe"]) for _ in range(rng.randint(1, 4)))
@@ -283,30 +290,30 @@ def labelled_pages(count: int = 240, seed: int = 5) -> tuple[list[str], list[lis
 
         def notes():
             for _ in range(rng.randint(1, 3)):
-                el(rng.choice(["div", "li", "article"]), 0, lambda: [el("p", 0, rng.choice([prose(1, 3), words(1, 3)])) for _ in range(rng.randint(1, 2))], attr("comment", "reply"))
+                el(rng.choice(["div", "li", "article"]), 0, lambda: [el("p", 0, rng.choice([prose(1, 4), prose(1, 2), words(1, 3)])) for _ in range(rng.randint(1, 2))], attr("comment", "reply"))
 
         def junk():
             kind = rng.choice(["ad", "aside", "notice", "form", "related", "share", "comments", "nav", "ad", "popup", "meta"])
             if kind == "ad":
-                el(rng.choice(["div", "div", "section", "aside"]), 0, rng.choice([prose(1, 2), link(), words(2, 6)]), attr("ad", "ads", "advert", "sponsored", "promo", "banner"))
+                el(rng.choice(["div", "div", "section", "aside"]), 0, rng.choice([prose(1, 5), prose(1, 2), link(), words(2, 6)]), attr("ad", "ads", "advert", "sponsored", "promo", "banner"))
             elif kind == "aside":
-                el(rng.choice(["aside", "aside", "div"]), 0, lambda: [el("h3", 0, words(1, 4)), menu() if rng.random() < 0.6 else el("p", 0, prose(1, 3))], attr("sidebar", "widget", "rail"))
+                el(rng.choice(["aside", "aside", "div"]), 0, lambda: [el("h3", 0, words(1, 4)), menu() if rng.random() < 0.5 else el("p", 0, prose(1, 5))] if rng.random() < 0.7 else out.append(prose(1, 4)), attr("sidebar", "widget", "rail", "complementary"))
             elif kind == "notice":
-                el(rng.choice(["div", "section", "p"]), 0, prose(1, 2) + rng.choice(["", " OK"]), attr("cookie", "consent", "gdpr", "notice", "cookie-banner"))
+                el(rng.choice(["div", "section", "p"]), 0, (prose(1, 4) + rng.choice(["", " OK"])) if rng.random() < 0.6 else lambda: [el("p", 0, prose(1, 3)), el("button", 0, word())], attr("cookie", "consent", "gdpr", "notice", "cookie-banner"))
             elif kind == "popup":
-                el(rng.choice(["div", "dialog"]), 0, lambda: [el("p", 0, sentence()), el("button", 0, word())], rng.choice([attr("modal", "popup", "newsletter"), ' style="display:none"', " hidden"]))
+                el(rng.choice(["div", "dialog"]), 0, lambda: [el("p", 0, prose(1, 3)), el("button", 0, word())], rng.choice([attr("modal", "popup", "newsletter"), ' style="display:none"', " hidden"]))
             elif kind == "form":
-                el("form", 0, lambda: [el("label", 0, words(1, 3) + "<input name=q>"), el("button", 0, word())] + ([el("p", 0, sentence())] if rng.random() < 0.4 else []), attr("search", "login", "subscribe"))
+                el("form", 0, lambda: [el("label", 0, words(1, 3) + "<input name=q>"), el("button", 0, word())] + ([el("p", 0, prose(1, 3))] if rng.random() < 0.5 else []), attr("search", "login", "subscribe"))
             elif kind == "related":
                 el(rng.choice(["div", "section", "aside"]), 0, lambda: [el("h2", 0, words(1, 4)), menu()], attr("related", "recommended", "popular", "trending"))
             elif kind == "share":
                 el("div", 0, " ".join(link() for _ in range(rng.randint(2, 4))), attr("share", "social", "tags"))
             elif kind == "comments":
-                el(rng.choice(["section", "div"]), 0, lambda: [el("h3", 0, words(1, 3)), notes()], attr("comments", "discussion", "replies"))
+                el(rng.choice(["section", "div"]), 0, lambda: [el("h3", 0, words(1, 3)), notes()], attr("comments", "discussion", "replies", "reader-comments", "commentlist"))
             elif kind == "meta":
                 el(rng.choice(["div", "p"]), 0, words(2, 5), attr("byline", "meta", "author"))
             else:
-                el("nav", 0, menu if rng.random() < 0.6 else " ".join(link() for _ in range(4)), attr("breadcrumb", "pagination", "menu"))
+                el("nav", 0, menu if rng.random() < 0.6 else rng.choice([" ".join(link() for _ in range(4)), prose(1, 2)]), attr("breadcrumb", "pagination", "menu"))
 
         def body():
             if rng.random() < 0.75:
@@ -348,7 +355,7 @@ def labelled_pages(count: int = 240, seed: int = 5) -> tuple[list[str], list[lis
             if rng.random() < 0.5:
                 el("nav", 0, menu if rng.random() < 0.7 else " ".join(link() for _ in range(5)))
             else:
-                el(rng.choice(["header", "header", "div"]), 0, lambda: [el("div", 0, words(1, 3)), el("nav", 0, menu)] if rng.random() < 0.6 else menu(), attr("header", "masthead", "topbar"))
+                el(rng.choice(["header", "header", "div"]), 0, lambda: rng.choice([lambda: [el("div", 0, words(1, 3)), el("nav", 0, menu)], menu, lambda: out.append(words(1, 4)), lambda: [el("p", 0, sentence()), el("nav", 0, menu)]])(), attr("header", "masthead", "topbar"))
         for _ in range(rng.choice([0, 0, 1, 2])):
             junk()
         kind = rng.random()
@@ -365,7 +372,7 @@ def labelled_pages(count: int = 240, seed: int = 5) -> tuple[list[str], list[lis
             junk()
         if rng.random() < 0.8:
             if rng.random() < 0.7:
-                el("footer", 0, rng.choice(["&copy; " + word() + " &middot; " + sentence(), words(2, 8), " ".join(link() for _ in range(3))]))
+                el("footer", 0, rng.choice([lambda: el("p", 0, prose(1, 3)), prose(1, 3), "&copy; " + word() + " &middot; " + sentence(), words(2, 8), " ".join(link() for _ in range(3))]))
             else:
                 el("div", 0, lambda: [el("p", 0, "&copy; " + words(2, 5)), menu()], attr("footer", "copyright", "legal"))
         out.append("</body></html>")
