@@ -28,7 +28,7 @@ PIECE_CHARS = 1 << 16
 LONG_SPACE = 2048
 #: After a letter or digit, before a blank, a mark or the other of the two, no match of the pattern goes on.
 SAFE = regex.compile(r"(?<=[\p{L}\p{N}])(?=[ \n\p{P}])|(?<=\p{L})(?=\p{N})|(?<=\p{N})(?=\p{L})")
-SPACES = regex.compile(r"\s{%d,}" % LONG_SPACE)
+SPACES = regex.compile(r"\p{White_Space}{%d,}" % LONG_SPACE)
 _made: dict[str, object] = {}
 
 

@@ -29,7 +29,7 @@ def test_pieces_give_the_ids_of_the_whole(enc):
 
 
 def test_long_runs(enc):
-    for text in (" " * 5000 + "a", "a" + "\n" * 4000, " " * 3000, "b" * 20000, "word " * 30000, "x" + " " * 2500 + "y" + " " * 2100):
+    for text in (" " * 5000 + "a", "a" + "\n" * 4000, " " * 3000, "b" * 20000, "word " * 30000, "x" + " " * 2500 + "y" + " " * 2100, "a" + " \x1c" * 2000, "\u3000" * 2100 + "z"):
         assert np.concatenate(list(bpe.ids_of(enc, text))).tolist() == enc.encode_ordinary(text)
 
 
