@@ -36,7 +36,7 @@ from palaver.shipping import ship
 ORDER = 5
 START = b"\n" * ORDER
 END_WORD = b""
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 #: A gram's key is below TOTAL, a word's is negative; the corpus's sums stand at the two keys from TOTAL on.
 TOTAL = 1 << 60
 COUNTS = "key long, block int, n long"
