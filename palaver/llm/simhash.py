@@ -13,6 +13,10 @@ Where many distinct fingerprints share an anchor, its members are dealt into sli
 slices is compared in a task of its own. An anchor gives links enough to connect whatever its
 comparisons connect, not all pairs.
 
+Those shingles of three words and three bits are op1's. The pipeline's stage (`deduplicated`) takes
+texts for near copies whose sets of five-word shingles have a similarity (common over all) of 0.8 or
+more: candidates share a band of minimum hashes, and the exact similarity of the sets decides.
+
 Defined cases: null and empty texts, and texts of white space, have no shingle and the fingerprint
 zero; texts with fewer words than a shingle are one shingle; repeated rows and equal texts share a
 fingerprint and a component; a null doc_id is kept, but names a component only if it has no other
@@ -24,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +45,16 @@ SLICE = 2000
 NARROW_ROWS = 500_000
 #: Shingles that are hashed at a time, whatever the text's length.
 STEP = 1 << 17
+#: Near copies for the pipeline: words of a shingle, least similarity of two texts' sets of shingles.
+COPY_SHINGLE = 5
+PERCENT = 80
+#: Their sketch: bands of minimum hashes. Sets of similarity 0.8 share no band with probability (1 - 0.8^4)^32 = 5e-8.
+BANDS, BAND = 32, 4
+FACTORS, TERMS = np.random.default_rng(SEED).integers(0, 1 << 32, (2, BANDS * BAND), np.uint32) | np.array([[1], [0]], np.uint32)
+#: Differing bits of the wide code (four of each minimum): 51 at similarity 0.8 on average, with a deviation of 10.
+CODE_BITS = 115
+#: Members of a band that all others are compared with at first.
+LEADS = 4
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -201,9 +215,106 @@ def near_duplicates(df: DataFrame, shingle: int = SHINGLE, slice_size: int = SLI
     return prints.join(byprint, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicated(df: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """df without all but one document of each component: the one with the least doc_id; of rows with one id one stays."""
-    ids = stored(near_duplicates(df, shingle).groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"), F.count("*").alias("n")))
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The different hashes of a text's word shingles, sorted."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    k, flat, h = min(shingle, len(words)), b" ".join(words), xxhash.xxh64_intdigest
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends + 1))[: len(words) - k + 1 if words else 0]
+    return np.unique(np.array([h(flat[a:b], SEED) for a, b in zip(starts.tolist(), ends[max(k - 1, 0) :].tolist(), strict=True)], np.uint64))
+
+
+def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the bands and the wide code of a set of shingles, both as longs."""
+    low, mins = hashes.astype(np.uint32), np.full(BANDS * BAND, 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(low), 512):
+        np.minimum(mins, (FACTORS[:, None] * low[None, at : at + 512] + TERMS[:, None]).min(axis=1), out=mins)
+    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for column in mins.reshape(BANDS, BAND).T:
+        keys = (keys ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(29)
+    nibbles = (mins & 15).astype(np.uint8)
+    return keys.view(np.int64), (nibbles[::2] | nibbles[1::2] << 4).view(np.int64)
+
+
+def sketches(df: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
+    """doc_id, d (hash of the text), s (hash of its set of shingles), n (their number), keys and code of the sketch."""
+    ship(df.sparkSession)
+    schema = T.StructType([df.schema["doc_id"], *T._parse_datatype_string("d long, s long, n int, keys array<long>, code array<long>").fields])
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part, out = batch.slice(at, 1000), []
+                for text in part.column(2):
+                    hs = shingle_set(text.as_py(), shingle)
+                    keys, code = sketch(hs) if len(hs) else (np.zeros(0, np.int64), np.zeros(8, np.int64))
+                    out.append((np.uint64(xxhash.xxh64_intdigest(hs.tobytes(), SEED)).astype(np.int64), len(hs), keys, code))
+                s, n, keys, code = zip(*out, strict=True)
+                longs = pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(s, pa.int64()), pa.array(n, pa.int32()), pa.array(keys, longs), pa.array(code, longs)], schema.fieldNames())
+
+    return df.select("doc_id", F.xxhash64("text").alias("d"), "text").mapInArrow(run, schema)
+
+
+def _alike() -> Column:
+    """Of a pair with n, code and n2, code2: whether size and code allow the similarity."""
+    differ = sum((F.bit_count(F.col("code")[i].bitwiseXOR(F.col("code2")[i])) for i in range(BANDS * BAND // 16)), F.lit(0))
+    return (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * PERCENT) & (differ <= CODE_BITS)
+
+
+def _similar(df: DataFrame, points: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """The pairs (a, b) of sets whose exact similarity is PERCENT or more."""
+    wanted = pairs.select(F.col("a").alias("s")).union(pairs.select(F.col("b").alias("s"))).distinct()
+    wanted = stored(points.select("s", "d").join(wanted, "s"))
+    texts = join_sized(df.select("text", F.xxhash64("text").alias("d")), wanted, "d", "inner", NARROW_ROWS).dropDuplicates(["s"])
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                hs = [shingle_set(t.as_py(), shingle).view(np.int64) for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(hs, pa.list_(pa.int64()))], ["s", "hs"])
+
+    sets = stored(texts.select("s", "text").mapInArrow(run, "s long, hs array<long>"))
+    both = pairs.join(sets.select(F.col("s").alias("b"), F.col("hs").alias("hb")), "b").join(sets.select(F.col("s").alias("a"), F.col("hs").alias("ha")), "a")
+    return both.where(F.size(F.array_intersect("ha", "hb")) * (100 + PERCENT) >= (F.size("ha") + F.size("hb")) * PERCENT).select("a", "b")
+
+
+def near_copies(df: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
+    """doc_id, d (hash of the text), root: one value for texts that links of similarity PERCENT or more connect.
+
+    Sets that share a band are candidates. First each is compared with LEADS members of its band; then,
+    band by band, all that are not connected yet. Only exact similarity makes a link.
+    """
+    prints = stored(sketches(df, shingle))
+    points = stored(prints.drop("doc_id").dropDuplicates(["s"]))
+    bands = points.select("s", F.explode("keys").alias("key"))
+    leads = bands.groupBy("key").agg(F.count("*").alias("size"), *[F.min_by("s", F.xxhash64("s", F.lit(i))).alias(f"lead{i}") for i in range(LEADS)]).where("size > 1")
+    led = bands.join(leads, "key").select("s", F.explode(F.array_distinct(F.array(*[f"lead{i}" for i in range(LEADS)]))).alias("t")).where("s <> t")
+    about = points.select("s", "n", "code")
+    about2 = about.select(F.col("s").alias("b"), F.col("n").alias("n2"), F.col("code").alias("code2"))
+    first = led.select(F.least("s", "t").alias("s"), F.greatest("s", "t").alias("b")).distinct().join(about2, "b").join(about, "s").where(_alike())
+    first = stored(first.select(F.col("s").alias("a"), "b"))
+    links = stored(_similar(df, points, first, shingle))
+    roots = components(links).withColumnRenamed("node", "s")
+    rooted = bands.join(roots, "s", "left").withColumn("root", F.coalesce("root", "s"))
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    open_ = stored(rooted.join(mixed, "key").join(about, "s"))
+    other = open_.select("key", F.col("s").alias("b"), F.col("root").alias("root2"), F.col("n").alias("n2"), F.col("code").alias("code2"))
+    rest = open_.join(other, (open_["key"] == other["key"]) & (F.col("s") < F.col("b")) & (F.col("root") != F.col("root2")) & _alike())
+    rest = stored(rest.select(F.col("s").alias("a"), "b").distinct().join(first, ["a", "b"], "left_anti"))
+    if not rest.isEmpty():
+        links = links.union(stored(_similar(df, points, rest, shingle)))
+        roots = components(links).withColumnRenamed("node", "s")
+    return prints.select("doc_id", "d", "s").join(roots, "s", "left").select("doc_id", "d", F.coalesce("root", "s").alias("root"))
+
+
+def deduplicated(df: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
+    """df without all but one document of each group of near copies (five-word shingles, similarity 0.8 or more): the one with the least doc_id; of rows with one id one stays."""
+    rows = stored(near_copies(df, shingle))
+    least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    ids = stored(rows.join(least, "root").groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"), F.count("*").alias("n")))
     gone, many = ids.where("not kept").select(F.col("doc_id").alias("__id")), ids.where("kept and n > 1").select(F.col("doc_id").alias("__id"))
     same = df["doc_id"].eqNullSafe(F.col("__id"))
     left = join_sized(df, gone, same, "left_anti", NARROW_ROWS)

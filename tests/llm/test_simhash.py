@@ -67,3 +67,26 @@ def test_one_of_each_group_stays(spark, documents):
     kept = simhash.deduplicated(documents(["a b c d e", "a b c d e", "other words are here", "x y z", "x y z"], ids=[5, 3, 4, 7, 7]))
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 7]
     assert "block" in kept.columns
+
+
+def test_near_copies_by_five_word_similarity(spark, documents):
+    rng, texts = random.Random(9), []
+    shingles = lambda t: {tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))}
+    alike = lambda a, b: len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b)) >= 0.8
+    for _ in range(40):
+        base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        texts.append(" ".join(base))
+        for edits in (1, 2, 3, 5, 6, 9, 12):
+            copy = list(base)
+            for at in rng.sample(range(300), edits):
+                copy[at] = f"x{rng.randrange(5000)}"
+            texts.append(" ".join(copy))
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i // 8 * 8, i):
+            if alike(texts[i], texts[j]):
+                root = [root[j] if r == root[i] else r for r in root]
+    kept = {r.doc_id for r in simhash.deduplicated(documents(texts)).collect()}
+    assert kept == {min(i for i, r in enumerate(root) if r == x) for x in set(root)}
+    # The setting of op1, three words and three bits, leaves many of these copies in.
+    assert len({r.component_id for r in simhash.near_duplicates(documents(texts)).collect()}) > len(kept) + 40
