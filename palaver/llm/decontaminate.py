@@ -93,8 +93,8 @@ def block_keys(fp: Column) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("i"), F.shiftrightunsigned(fp, a).bitwiseAND((1 << (z - a)) - 1).alias("v")) for i, (a, z) in enumerate(zip(edges, edges[1:], strict=False))])
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, similarity, first_word (of the best window, the first such), n_words: one row per pair."""
+def found_windows(documents: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+    """doc, d (hash of the text), item, k, start, similarity, size: windows that hold an item; None without items."""
     docs = documents.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("d"), "text").where(F.col("text").isNotNull())
     items, shingles = items_of(benchmark)
     sizes = sorted(r[0] for r in items.select("k").distinct().collect())  # at most SHINGLE of them
@@ -103,7 +103,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         places = windows(hits(docs, shingles, k), shingles)
         pairs = places if pairs is None else pairs.unionByName(places)
     if pairs is None:
-        return documents.sparkSession.createDataFrame([], f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, item_id {benchmark.schema['item_id'].dataType.simpleString()}, similarity double, first_word int, n_words bigint")
+        return None
     pairs = stored(pairs.distinct())
     null_safe = lambda a, b: F.col(a).eqNullSafe(F.col(b))
     cut = None
@@ -112,7 +112,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         wanted = own.select(F.col("doc").alias("doc2"), F.col("d").alias("d2")).distinct()
         again = join_sized(docs, wanted, null_safe("doc", "doc2") & (F.col("d") == F.col("d2")), "left_semi", NARROW_ROWS).dropDuplicates(["doc", "d"])
         hashed = _hashed(again, k).select(F.col("doc").alias("doc2"), F.col("d").alias("d2"), "hs")
-        part = own.join(hashed, null_safe("doc", "doc2") & (F.col("d") == F.col("d2"))).select("doc", "item", "n", "k", "start", F.slice("hs", F.col("start") + 1, F.col("size").cast("int")).alias("hs"))
+        part = own.join(hashed, null_safe("doc", "doc2") & (F.col("d") == F.col("d2"))).select("doc", "d", "item", "n", "k", "start", F.slice("hs", F.col("start") + 1, F.col("size").cast("int")).alias("hs"))
         cut = part if cut is None else cut.unionByName(part)
     cut = stored(cut.withColumn("content", F.xxhash64("hs")))
     contents = stored(cut.groupBy("item", "content").agg(F.first("hs").alias("hs"), F.max("n").alias("n")))
@@ -123,17 +123,29 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     common = weighted.join(near, ["item", "content"], "left_semi").join(shingles.select("item", "h", F.col("c").alias("ci")), ["item", "h"]).groupBy("item", "content").agg(F.sum(F.least("c", "ci")).alias("common"))
     sim = F.col("common") / (F.size("hs") + F.col("n") - F.col("common"))
     good = common.join(contents, ["item", "content"]).withColumn("similarity", sim).where(F.col("common") * (100 + PERCENT) >= (F.size("hs") + F.col("n")) * PERCENT).select("item", "content", "similarity", (F.size("hs") + F.lit(0)).cast("long").alias("size"))
+    return cut.join(good, ["item", "content"])
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, similarity, first_word (of the best window, the first such), n_words: one row per pair."""
+    found = found_windows(documents, benchmark)
+    if found is None:
+        return documents.sparkSession.createDataFrame([], f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, item_id {benchmark.schema['item_id'].dataType.simpleString()}, similarity double, first_word int, n_words bigint")
     best = F.min(F.struct((-F.col("similarity")).alias("s"), "start", (F.col("size") + F.col("k") - 1).alias("n_words")))
     return (
-        cut.join(good, ["item", "content"]).groupBy("doc", "item").agg(best.alias("b"))
+        found.groupBy("doc", "item").agg(best.alias("b"))
         .select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), (-F.col("b.s")).alias("similarity"), F.col("b.start").alias("first_word"), "b.n_words")
     )
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """documents without those that hold a benchmark item."""
-    bad = stored(contaminated(documents, benchmark).select(F.col("doc_id").alias("__bad")).distinct())
-    return join_sized(documents, bad, documents["doc_id"].eqNullSafe(bad["__bad"]), "left_anti", NARROW_ROWS)
+    """documents without those whose own text holds a benchmark item."""
+    found = found_windows(documents, benchmark)
+    if found is None:
+        return documents
+    bad = stored(found.select(F.col("doc").alias("__bad"), F.col("d").alias("__d")).distinct())
+    same = documents["doc_id"].eqNullSafe(F.col("__bad")) & (F.xxhash64(documents["text"]) == F.col("__d"))
+    return join_sized(documents, bad, same, "left_anti", NARROW_ROWS)
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

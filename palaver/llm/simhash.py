@@ -311,16 +311,22 @@ def near_copies(df: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
 
 
 def deduplicated(df: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
-    """df without all but one document of each group of near copies (five-word shingles, similarity 0.8 or more): the one with the least doc_id; of rows with one id one stays."""
+    """df without all but one document of each group of near copies (five-word shingles, similarity 0.8 or more).
+
+    Documents are known by doc_id and a hash of their text. The one with the least doc_id stays, one
+    without an id only if none has one; of equal rows one stays.
+    """
     rows = stored(near_copies(df, shingle))
-    least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    ids = stored(rows.join(least, "root").groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"), F.count("*").alias("n")))
-    gone, many = ids.where("not kept").select(F.col("doc_id").alias("__id")), ids.where("kept and n > 1").select(F.col("doc_id").alias("__id"))
-    same = df["doc_id"].eqNullSafe(F.col("__id"))
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "d")).alias("first"))
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("d") == F.col("first.d"))
+    ids = stored(rows.join(first, "root").groupBy("doc_id", "d").agg(F.max(kept).alias("kept"), F.count("*").alias("n")))
+    key = [F.col("doc_id").alias("__id"), F.col("d").alias("__d")]
+    gone, many = ids.where("not kept").select(key), ids.where("kept and n > 1").select(key)
+    same = df["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(df["text"]) == F.col("__d"))
     left = join_sized(df, gone, same, "left_anti", NARROW_ROWS)
     if many.isEmpty():
         return left
-    return join_sized(left, many, same, "left_anti", NARROW_ROWS).unionByName(join_sized(left, many, same, "left_semi", NARROW_ROWS).dropDuplicates(["doc_id"]))
+    return join_sized(left, many, same, "left_anti", NARROW_ROWS).unionByName(join_sized(left, many, same, "left_semi", NARROW_ROWS).dropDuplicates(["doc_id", "text"]))
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

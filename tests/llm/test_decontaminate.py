@@ -75,3 +75,10 @@ def test_documents_go_or_stay(spark, documents):
     assert sorted((str(r.doc_id), r.item_id) for r in pairs) == [("1", 1), ("None", 1)]
     assert decontaminate.contaminated(df.limit(0), bench).collect() == []
     assert decontaminate.decontaminated(df, bench.limit(0)).count() == 5
+
+
+def test_clean_rows_with_the_same_id_stay(spark, documents):
+    item = " ".join(f"w{i}" for i in range(30))
+    df = documents(["x " + item, "clean text", "more clean text", item + " z", "clean too"], ids=[None, None, None, 7, 7])
+    left = decontaminate.decontaminated(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(r.text for r in left.collect()) == ["clean text", "clean too", "more clean text"]

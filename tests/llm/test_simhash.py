@@ -90,3 +90,9 @@ def test_near_copies_by_five_word_similarity(spark, documents):
     assert kept == {min(i for i, r in enumerate(root) if r == x) for x in set(root)}
     # The setting of op1, three words and three bits, leaves many of these copies in.
     assert len({r.component_id for r in simhash.near_duplicates(documents(texts)).collect()}) > len(kept) + 40
+
+
+def test_rows_that_share_an_id_or_have_none(spark, documents):
+    texts = ["a b c d e f", "g h i j k l", "m n o p q r", "m n o p q r", "s t u v w x", "y z a b c d", "y z a b c d"]
+    kept = simhash.deduplicated(documents(texts, ids=[None, None, None, 4, 5, 5, 5])).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == [("4", texts[2]), ("5", texts[4]), ("5", texts[5]), ("None", texts[0]), ("None", texts[1])]
