@@ -8,11 +8,8 @@ sum of the lesser weights over the sum of the greater ones. Steps:
 1. Places of documents whose shingle is one of an item are looked up. A window begins, without loss, at
    such a place (or at the document's last window): moving it there keeps every shingle that counts.
    Windows with fewer such places than the similarity needs are left out, again without loss.
-2. Each different window content gets a SimHash fingerprint of its weighted shingles, as each item has.
-3. A multi-index of `RADIUS + 1` blocks of bits finds all windows whose fingerprint is within `RADIUS`
-   of their item's: with so many blocks, one has no differing bit. At a similarity of 0.8 fingerprints
-   differ in 9.7 of 64 bits on average, with a deviation of 2.9; a radius of 24 is five deviations away.
-4. The exact similarity of those candidates decides.
+2. The exact similarity of every window that is left decides. No fingerprint stands between: its distance
+   has no bound at a given similarity (a repeated shingle or a short text takes it beyond any radius).
 
 Equal items are one item, with the least item_id; equal window contents are compared once.
 
@@ -31,8 +28,8 @@ from palaver.llm.common import join_sized, stored, table
 
 SHINGLE = 5
 PERCENT = 80
+#: Radius of the fingerprint index that once chose windows; only its test reads it.
 RADIUS = 24
-BITS = 64
 #: Keys of one or two longs that may be broadcast.
 NARROW_ROWS = 500_000
 
@@ -78,21 +75,6 @@ def windows(found: DataFrame, shingles: DataFrame) -> DataFrame:
     return w.where(F.size("at") >= F.col("need")).select("doc", "d", "item", "k", "n", "size", F.explode(F.array_distinct(F.concat(starts, last))).alias("start"))
 
 
-def simhash(rows: DataFrame, keys: list[str], weight: Column) -> DataFrame:
-    """rows of (keys, h): keys and fp, the fingerprint of the weighted hashes."""
-    sums = [F.sum(F.when(F.shiftright("h", b).bitwiseAND(1) == 1, weight).otherwise(-weight)).alias(f"b{b}") for b in range(BITS)]
-    bits = F.array(*[F.col(f"b{b}") > 0 for b in range(BITS)])
-    fp = F.expr(f"aggregate(sequence(0, {BITS - 1}), 0L, (f, b) -> f | if(bits[b], shiftleft(1L, b), 0L))")
-    # Stored, lest what follows repeats the sums' long expression for each block of bits.
-    return stored(rows.groupBy(*keys).agg(*sums).select(*keys, bits.alias("bits")).select(*keys, fp.alias("fp")))
-
-
-def block_keys(fp: Column) -> Column:
-    """Array of (number, value) for RADIUS + 1 blocks that share out the bits."""
-    edges = [b * BITS // (RADIUS + 1) for b in range(RADIUS + 2)]
-    return F.array(*[F.struct(F.lit(i).alias("i"), F.shiftrightunsigned(fp, a).bitwiseAND((1 << (z - a)) - 1).alias("v")) for i, (a, z) in enumerate(zip(edges, edges[1:], strict=False))])
-
-
 def found_windows(documents: DataFrame, benchmark: DataFrame) -> DataFrame | None:
     """doc, d (hash of the text), item, k, start, similarity, size: windows that hold an item; None without items."""
     docs = documents.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("d"), "text").where(F.col("text").isNotNull())
@@ -117,10 +99,7 @@ def found_windows(documents: DataFrame, benchmark: DataFrame) -> DataFrame | Non
     cut = stored(cut.withColumn("content", F.xxhash64("hs")))
     contents = stored(cut.groupBy("item", "content").agg(F.first("hs").alias("hs"), F.max("n").alias("n")))
     weighted = stored(contents.select("item", "content", F.explode("hs").alias("h")).groupBy("item", "content", "h").agg(F.count("*").alias("c")))
-    prints = simhash(weighted, ["item", "content"], F.col("c")).select("item", "content", "fp", F.explode(block_keys(F.col("fp"))).alias("key"))
-    item_prints = simhash(shingles, ["item"], F.col("c")).select("item", F.col("fp").alias("item_fp"), F.explode(block_keys(F.col("fp"))).alias("key"))
-    near = prints.join(item_prints, ["item", "key"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS).select("item", "content").distinct()
-    common = weighted.join(near, ["item", "content"], "left_semi").join(shingles.select("item", "h", F.col("c").alias("ci")), ["item", "h"]).groupBy("item", "content").agg(F.sum(F.least("c", "ci")).alias("common"))
+    common = weighted.join(shingles.select("item", "h", F.col("c").alias("ci")), ["item", "h"]).groupBy("item", "content").agg(F.sum(F.least("c", "ci")).alias("common"))
     sim = F.col("common") / (F.size("hs") + F.col("n") - F.col("common"))
     good = common.join(contents, ["item", "content"]).withColumn("similarity", sim).where(F.col("common") * (100 + PERCENT) >= (F.size("hs") + F.col("n")) * PERCENT).select("item", "content", "similarity", (F.size("hs") + F.lit(0)).cast("long").alias("size"))
     return cut.join(good, ["item", "content"])

@@ -82,3 +82,14 @@ def test_clean_rows_with_the_same_id_stay(spark, documents):
     df = documents(["x " + item, "clean text", "more clean text", item + " z", "clean too"], ids=[None, None, None, 7, 7])
     left = decontaminate.decontaminated(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert sorted(r.text for r in left.collect()) == ["clean text", "clean too", "more clean text"]
+
+
+def test_repeated_shingles_lose_no_window(spark, documents):
+    rng = random.Random(4)
+    items = [[f"w{rng.randrange(10**6)}" for _ in range(274)] for _ in range(12)]
+    texts = [" ".join(i[:247] + ["z"] * 27) for i in items]
+    items = [(n, " ".join(i)) for n, i in enumerate(items)]
+    got = decontaminate.contaminated(documents(texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = brute(list(enumerate(texts)), items)
+    assert len(want) == 12
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
