@@ -10,7 +10,8 @@ likelihood of labelled pages, with the same messages giving the expectations. Th
 written by `labelled_pages` in layouts of many kinds; each block is labelled there.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are joined
-in page order by one space. Scripts, styles, comments and the head are no text.
+in page order by one space. Scripts, styles, comments and the head are no text, nor is what browsers do
+not show as text (noscript, iframe, template, svg) up to its end tag; without one only the tag is skipped.
 
 Defined cases: null and empty pages give an empty text; text without any tag stands in the root and is
 content; broken markup never fails; repeated rows give equal results; an empty table gives an empty
@@ -35,7 +36,7 @@ from palaver.shipping import ship
 
 #: Element names by their part in a page.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-RAW = ("script", "style", "title", "textarea", "noscript", "iframe", "template", "svg", "math", "object", "xmp", "noembed", "noframes")
+RAW = ("script", "style", "title", "textarea", "noscript", "iframe", "template", "svg", "xmp", "noembed", "noframes")
 BLOCKS = {"html", "body", "head", "article", "main", "section", "div", "p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "nav", "header", "footer", "aside", "form", "fieldset", "table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption", "blockquote", "pre", "figure", "figcaption", "address", "details", "summary", "dialog", "menu", "center", "hgroup", "search", "select", "option", "button", "label"}
 CLOSES_P = BLOCKS - {"button", "label", "option", "select"}
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
@@ -112,9 +113,17 @@ def parse(page: str) -> tuple[list[Node], int]:
             continue
         tag, closing = tag.lower(), bool(m[1])
         if not closing and tag in RAW_END:
-            end = RAW_END[tag].search(page, at)
-            at = end.end() if end else len(page)
             run += tag != "svg"
+            if tag == "svg" and m[3].endswith("/"):
+                continue
+            end = RAW_END[tag].search(page, at)
+            if tag == "xmp":  # its text is shown as it is written
+                text(page[at : end.start() if end else len(page)].replace("&", "&amp;"))
+                run += 1
+            if end:
+                at = end.end()
+            elif tag in ("script", "style", "xmp"):
+                at = len(page)
             continue
         if tag == "a":
             links = 0 if closing else 1

@@ -61,3 +61,15 @@ def test_query(spark, model):
     rows = htmltext.extracted(df, model).collect()
     assert sorted((r.text, r.n_chars) for r in rows) == [("", 0), ("", 0), ("Hello there, this is text.", 26)]
     assert htmltext.extracted(df.limit(0), model).collect() == []
+
+
+def test_no_text_is_lost_behind_or_inside_embedded_elements(model):
+    body = "<p>First words of it, as always.</p>%s<p>Second words stand here, after it.</p>"
+    text = lambda inner: htmltext.main_text(f"<body><article><h1>Title</h1>{body % inner}</article></body>", *model)[0]
+    plain = "Title First words of it, as always. Second words stand here, after it."
+    for inner in ('<svg class="i" />', "<svg/>", "<math/>", "<iframe src=x>", "<noscript>", "<template>", "<svg><text>icon</text></svg>", "<noscript>turn it on</noscript>"):
+        assert text(inner) == plain, inner
+    assert text('<svg/><p>Between the icons, some text.</p><svg><path d="x"/></svg>') == plain.replace("Second", "Between the icons, some text. Second")
+    for inner in ("<p>It holds <math><mi>x</mi></math>, so it does.</p>", "<p>It holds <object data=f>x</object>, so it does.</p>"):
+        assert text(inner) == plain.replace("Second", "It holds x, so it does. Second"), inner
+    assert "a &amp; <b>" in htmltext.main_text("<article><p>Some text is here.</p><xmp>a &amp; <b></xmp></article>", *model)[0]
