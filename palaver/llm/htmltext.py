@@ -12,9 +12,11 @@ written by `labelled_pages` in layouts of many kinds; each block is labelled the
 Text: character references are decoded, white space inside a block becomes one space, blocks are joined
 in page order by one space. Scripts, styles, comments and the head are no text, nor is what browsers do
 not show as text (noscript, iframe, template, svg) up to its end tag; without one only the tag is skipped.
+A quote that is never closed is an ordinary character of its tag. The page is read in one forward pass, in
+time linear in its length.
 
 Defined cases: null and empty pages give an empty text; text without any tag stands in the root and is
-content; broken markup never fails; repeated rows give equal results; an empty table gives an empty
+content; a marginal of exactly one half is not content; broken markup never fails; long pages are read whole; repeated rows give equal results; an empty table gives an empty
 result; other columns are not read.
 """
 
@@ -24,6 +26,7 @@ import html
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +70,8 @@ EXTRA = ["bias", "own_text", "long_text", "all_link", "some_link", "short", "sen
 JUNK_TAGS = {"nav", "footer", "aside", "form", "button", "dialog", "menu", "select", "label"}
 JUNK_HINTS = {GROUPS.index(g) for g in ("ad", "nav", "foot", "side", "notice", "comments", "form", "hidden")}
 SIZE = N_TAGS + len(GROUPS) + len(EXTRA)
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+TAG_NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
+TAG_STOP = re.compile(r"[>\"']")
 ATTR = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden|aria-label|itemprop)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 HINT = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
@@ -86,14 +90,97 @@ class Node:
         self.label = 0
 
 
+class Scanner:
+    """Goes over a page once, forward: the text before the next tag and the tag.
+
+    What was looked for in vain is not looked for again, so the time is linear in the page's length.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.at = page, 0
+        self.absent: set[str] = set()
+
+    def find(self, what: str, at: int) -> int:
+        """The next place of `what`, -1 if there is none from here to the end."""
+        if what in self.absent:
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.absent.add(what)
+        return found
+
+    def skip_raw(self, tag: str) -> int:
+        """Moves behind the element's end tag and returns where that begins; -1 without one."""
+        if tag in self.absent:
+            return -1
+        m = RAW_END[tag].search(self.page, self.at)
+        if m is None:
+            self.absent.add(tag)
+            return -1
+        self.at = m.end()
+        return m.start()
+
+    def tag_end(self, at: int) -> int:
+        """Where the tag's `>` stands. Quotes count behind `=` only, and only if they are closed."""
+        page = self.page
+        while True:
+            m = TAG_STOP.search(page, at) if ">" not in self.absent else None
+            if m is None:
+                self.absent.add(">")
+                return -1
+            at = m.end()
+            if m[0] == ">":
+                return m.start()
+            k = m.start() - 1
+            while k > 0 and page[k] in " \t\n\r\f":
+                k -= 1
+            if page[k] == "=":
+                end = self.find(m[0], at)
+                at = at if end < 0 else end + 1
+
+    def __iter__(self):
+        """(text, name, closing, attributes); the name is None behind the last text and for comments."""
+        page, begin = self.page, 0
+        while True:
+            at = self.find("<", self.at)
+            if at < 0:
+                break
+            mark = page[at + 1 : at + 2]
+            if mark in ("!", "?") and mark:
+                if page.startswith("<!--", at):
+                    stop, size = self.find("-->", at + 2), 3
+                elif page.startswith("<![CDATA[", at):
+                    stop, size = self.find("]]>", at), 3
+                else:
+                    stop, size = self.find(">", at), 1
+                self.at = stop + size if stop >= 0 else len(page)
+                yield page[begin:at], None, False, ""
+            else:
+                m = TAG_NAME.match(page, at + 1)
+                if m is None:
+                    self.at = at + 1
+                    continue
+                stop = self.tag_end(m.end())
+                # A tag that the page's end cuts off is no text, as in browsers.
+                end = stop if stop >= 0 else len(page)
+                self.at = min(end + 1, len(page))
+                yield page[begin:at], m[1].lower(), mark == "/", page[m.end() : end]
+            begin = self.at
+        yield page[begin:], None, False, ""
+
+
 def parse(page: str) -> tuple[list[Node], int]:
     """Block nodes in page order (a parent stands before its children) and the number of text runs.
 
-    A run is text without a block's edge inside; its pieces go to the node that they stand in.
+    A run is text without a block's edge inside; its pieces go to the node that they stand in. Each open
+    element knows which open one a new tag would close, so no tag looks through the open ones.
     """
     nodes = [Node("html", -1, 0)]
-    stack, run, links, at = [0], 0, 0, 0
-    skip_head = False
+    #: Open elements; beside each, by tag, the place among them that such a tag closes (0: none).
+    stack, reach = [0], [dict.fromkeys(["p", *CLOSED_BY], 0)]
+    opened: Counter = Counter()
+    run, links, skip_head = 0, 0, False
+    scan = Scanner(page)
 
     def text(piece: str) -> None:
         if piece and not skip_head:
@@ -102,28 +189,25 @@ def parse(page: str) -> tuple[list[Node], int]:
             if links:
                 node.linked += len(piece)
 
-    while True:
-        m = TOKEN.search(page, at)
-        if not m:
-            break
-        text(page[at : m.start()])
-        at = m.end()
-        tag = m[2]
+    def close(k: int) -> None:
+        opened.subtract(nodes[i].tag for i in stack[k:])
+        del stack[k:], reach[k:]
+
+    for before, tag, closing, attributes in scan:
+        text(before)
         if tag is None:
             continue
-        tag, closing = tag.lower(), bool(m[1])
         if not closing and tag in RAW_END:
             run += tag != "svg"
-            if tag == "svg" and m[3].endswith("/"):
+            if tag == "svg" and attributes.endswith("/"):
                 continue
-            end = RAW_END[tag].search(page, at)
+            at = scan.at
+            end = scan.skip_raw(tag)
             if tag == "xmp":  # its text is shown as it is written
-                text(page[at : end.start() if end else len(page)].replace("&", "&amp;"))
+                text(page[at : end if end >= 0 else len(page)].replace("&", "&amp;"))
                 run += 1
-            if end:
-                at = end.end()
-            elif tag in ("script", "style", "xmp"):
-                at = len(page)
+            if end < 0 and tag in ("script", "style", "xmp"):
+                scan.at = len(page)
             continue
         if tag == "a":
             links = 0 if closing else 1
@@ -145,30 +229,21 @@ def parse(page: str) -> tuple[list[Node], int]:
         if tag == "body":
             skip_head = False
         if closing:
-            if any(nodes[i].tag == tag for i in stack[1:]):
-                while nodes[stack.pop()].tag != tag:
-                    pass
+            if opened[tag]:
+                k = len(stack) - 1
+                while nodes[stack[k]].tag != tag:
+                    k -= 1
+                close(k)
                 links = 0
             continue
         skip_head = False
-        if tag in CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if nodes[stack[k]].tag == "p":
-                    del stack[k:]
-                    break
-                if nodes[stack[k]].tag not in ("p", "button", "label"):
-                    break
-        if tag in CLOSED_BY:
-            for k in range(len(stack) - 1, 0, -1):
-                if nodes[stack[k]].tag in SCOPE[tag]:
-                    break
-                if nodes[stack[k]].tag in CLOSED_BY[tag]:
-                    del stack[k:]
-                    break
+        if tag in CLOSES_P and reach[-1]["p"]:
+            close(reach[-1]["p"])
+        while tag in CLOSED_BY and reach[-1][tag]:
+            close(reach[-1][tag])
         parent = stack[-1]
         node = Node(tag, parent, nodes[parent].depth + 1)
         nodes[parent].kids += 1
-        attributes = m[3]
         if attributes:
             for a in ATTR.finditer(attributes):
                 name, value = a[1].lower(), (a[2] or "").strip("\"'").lower()
@@ -177,9 +252,16 @@ def parse(page: str) -> tuple[list[Node], int]:
                 elif name != "style":
                     for w in HINT.findall(value):
                         node.hints.update(WORD_GROUP.get(w, ()))
+        here = reach[-1] if tag in ("button", "label") else reach[-1] | {"p": len(stack) if tag == "p" else 0}
+        for k in CLOSED_BY:
+            if tag in SCOPE[k]:
+                here = here | {k: 0}
+            elif tag in CLOSED_BY[k]:
+                here = here | {k: len(stack)}
         nodes.append(node)
         stack.append(len(nodes) - 1)
-    text(page[at:])
+        reach.append(here)
+        opened[tag] += 1
     return nodes, run + 1
 
 

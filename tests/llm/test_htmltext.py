@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -73,3 +74,36 @@ def test_no_text_is_lost_behind_or_inside_embedded_elements(model):
     for inner in ("<p>It holds <math><mi>x</mi></math>, so it does.</p>", "<p>It holds <object data=f>x</object>, so it does.</p>"):
         assert text(inner) == plain.replace("Second", "It holds x, so it does. Second"), inner
     assert "a &amp; <b>" in htmltext.main_text("<article><p>Some text is here.</p><xmp>a &amp; <b></xmp></article>", *model)[0]
+
+
+def test_broken_markup_is_read_in_linear_time():
+    kinds = (
+        "<a ", "<!", "<?x", "<p title=\"abc>", "<a b='", "<a href=x'>", "<svg>", "<noscript>", "</div>", "a<",
+        lambda n: "<div>" * n + "</p>" * n, lambda n: "<div>" * n + "</section>" * n, lambda n: "<ul>" + "<div>" * n + "<li>x</li>" * n,
+        lambda n: "<p><select>" + "<button>" * n + "<div>x</div>" * n,
+    )
+    for kind in kinds:
+        page = kind * (1_000_000 // len(kind)) if isinstance(kind, str) else kind(60_000)
+        begin = time.process_time()
+        htmltext.parse(page)
+        assert time.process_time() - begin < 20, kind
+
+
+def test_unbalanced_quotes_leave_no_markup(model):
+    text = lambda p: htmltext.main_text(p, *model)[0]
+    assert text('<article><p title="abc>Text one is here.</p></article>') == "Text one is here."
+    assert text("<article><p>One word's here.</p><p class=it's>Two 'words' here.</p><p title='a > b'>Three.</p></article>") == "One word's here. Two 'words' here. Three."
+    assert text("<article><p>It is 3 < 4 and a<b, or so.</p></article>") == "It is 3 < 4 and a"  # what a browser takes for a tag up to the next `>`
+    assert text("<article><p>Some words, and more.</p><a href='x") == "Some words, and more."
+
+
+def test_rows_and_cells_close_each_other():
+    nodes, _ = htmltext.parse("<table><tr><td>a<td>b<tr><td>c</table><ul><li>x<ul><li>y</ul><li>z</ul>")
+    parents = [nodes[n.parent].tag if n.parent >= 0 else "" for n in nodes]
+    assert [p for n, p in zip(nodes, parents) if n.tag == "tr"] == ["table", "table"]
+    assert [p for n, p in zip(nodes, parents) if n.tag == "li"] == ["ul"] * 3
+
+
+def test_long_page_is_read_whole(model):
+    page = "<article><h1>Title of it</h1>" + "<p>One sentence of the page, as they all are.</p>" * 40_000 + "</article>"
+    assert htmltext.main_text(page, *model)[0].count("sentence") == 40_000
