@@ -35,12 +35,53 @@ def test_gradients_by_differences():
     assert forward is langid.Network._forward
 
 
-def test_pieces_are_counted_as_often_as_they_occur():
-    net = langid.Network(2, hidden=4)
-    text = "ab cd ab ab " + "x" * 60
-    pieces = [p for w in text.split() for p in langid.piece_bytes(w)]
-    want = langid.piece_sums(net, pieces).sum(axis=0) / sum(map(len, pieces))
-    assert np.allclose(langid.pooled(net, [text])[0], want, atol=1e-5)
+def plain_labels(net, data):
+    """Probabilities at each position by plain loops over one text."""
+    H, sig = net.h, lambda v: 1 / (1 + np.exp(-v))
+    states = {}
+    for d in "fb":
+        h, states[d] = np.zeros(H), [None] * len(data)
+        for t in range(len(data)) if d == "f" else reversed(range(len(data))):
+            x, u = net.p[d + "x"][data[t]] + net.p[d + "c"], net.p[d + "u"]
+            z, r = sig(x[:H] + h @ u[:, :H]), sig(x[H : 2 * H] + h @ u[:, H : 2 * H])
+            h = (1 - z) * h + z * np.tanh(x[2 * H :] + (r * h) @ u[:, 2 * H :])
+            states[d][t] = h
+    e = np.array([np.concatenate([states["f"][t], states["b"][t]]) @ net.p["o"] + net.p["ob"] for t in range(len(data))])
+    return np.exp(e) / np.exp(e).sum(axis=1, keepdims=True)
+
+
+def test_document_probabilities_equal_plain_loops():
+    net = langid.Network(3, hidden=5)
+    texts = ["ab cd, ab ab", "Ärger über Öl", "x", None, "", "wort und satz " * 15]
+    got = langid.pooled(net, texts, len(texts))
+    for text, row in zip(texts, got):
+        want = plain_labels(net, (text or "").lower().encode()).mean(axis=0) if text else np.zeros(3)
+        assert np.allclose(row, want, atol=1e-5), text
+
+
+def test_state_runs_on_across_words_and_pieces():
+    net = langid.Network(3, hidden=5)
+    assert not np.allclose(plain_labels(net, b"ab cd")[3:], plain_labels(net, b"xy cd")[3:])
+    long = " ".join(f"wort{i} satz" for i in range(200)).encode()
+    pieces = langid.pieces_of(long)
+    assert b"".join(p[a:b] for p, a, b in pieces) == long and len(pieces) > 5
+    want = sum(plain_labels(net, p)[a:b].sum(axis=0) for p, a, b in pieces) / len(long)
+    assert np.allclose(langid.pooled(net, [long.decode()], 1)[0], want, atol=1e-5)
+    assert np.allclose(want, plain_labels(net, long).mean(axis=0), atol=2e-3)
+
+
+def test_letters():
+    assert [langid.has_letter(t) for t in ("½ ²", "Ⅷ ①", "12 _!", "a", "é", "中", "ª")] == [False] * 3 + [True] * 4
+
+
+def test_repeated_ids_are_learned_from_once(spark, documents, monkeypatch):
+    taken = []
+    monkeypatch.setattr(langid.Network, "fit", lambda self, pieces, target, rounds: taken.append(len(pieces)))
+    df = documents([f"wort satz {i % 5}" for i in range(50)], langs=["de"] * 25 + ["en"] * 25, ids=[1] * 50)
+    langid.train(df, docs=1)
+    assert taken == [2]
+    langid.train(df, docs=100, sample=3)
+    assert 2 <= taken[1] <= 3
 
 
 def test_held_out_accuracy(spark, documents):
@@ -56,7 +97,7 @@ def test_held_out_accuracy(spark, documents):
 
 def test_cases(spark, documents):
     texts, langs = made(60, 1)
-    df = documents([*texts, None, "", "123 !!", texts[0], "w" * 100_000], [*langs, "aa", None, "bb", None, None])
+    df = documents([*texts, None, "½ ² Ⅷ ①", "123 !!", texts[0], "w" * 100_000], [*langs, "aa", None, "bb", None, None])
     names, net = langid.train(df, rounds=20)
     out = {r.doc_id: r for r in langid.predicted(df, names, net).collect()}
     assert [out[i].lang_pred for i in (60, 61, 62)] == ["und"] * 3 and out[60].score == 0
