@@ -31,4 +31,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": quality.ORACLE, "op5_benchmark_decontamination": decontaminate.ORACLE}
+    return {"op3_quality_rules": quality.ORACLE, "op5_benchmark_decontamination": decontaminate.ORACLE, "op8_hilbert_sharding": sharding.ORACLE}

@@ -1,3 +1,5 @@
+import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -45,3 +47,41 @@ def test_few_rows_nulls_and_empty_table(spark, documents):
 def test_files(spark, documents, tmp_path):
     sharding.write_shards(documents([f"t {i}" for i in range(40)]), str(tmp_path / "s"))
     assert spark.read.parquet(str(tmp_path / "s")).groupBy("shard").count().count() == 8
+
+
+def test_names_keep_their_order_however_many(spark):
+    for n in (3, 40, 3000):
+        names = [f"n{i:05d}" for i in range(n)]
+        df = spark.createDataFrame([(x,) for x in [*names, None, names[0]]], "name string")
+        got = sharding.with_name_cell(df, "name", "cell", 8).collect()
+        cells = {r.name: r.cell for r in got}
+        assert len(got) == n + 2 and cells[None] == 0
+        assert [cells[x] for x in names] == [1 + i * 255 // n for i in range(n)]
+
+
+def test_size_cells_rise_with_size(spark):
+    got = [r.c for r in spark.range(1, 5000).select(sharding.size_cell("id", 8).alias("c")).collect()]
+    assert got == sorted(got) and got[:8] == [0, 4, 6, 8, 9, 10, 11, 12]
+
+
+def test_whole_result_equals_plain_python(spark, documents):
+    rng = random.Random(6)
+    texts = [rng.choice([None, "", "x" * 70_000, f"text {rng.randrange(90)} " * rng.randint(1, 9)]) for _ in range(400)]
+    langs = [rng.choice([None, "en", "de", "fr"]) for _ in texts]
+    rows = list(zip(range(400), texts, langs, [f"src{i % 2}" for i in range(400)]))
+    place = {x: 1 + i * 255 // 3 for i, x in enumerate(["de", "en", "fr"])} | {None: 0, "src0": 1, "src1": 1 + 255 // 2}
+    low = {}
+    for _, t, lang, source in rows:
+        a, b = low.get(t or "", (999, 999))
+        low[t or ""] = (min(a, place[source]), min(b, place[lang]))
+    keyed = []
+    for i, t, _, _ in rows:
+        data = (t or "").encode()
+        size = len(data) + 1
+        octave = size.bit_length() - 1
+        cell = np.array([[*low[t or ""], octave << 2 | (size << 2 >> octave) & 3]])
+        keyed.append((int(sharding.hilbert_index(cell, 8)[0]), size, zlib.crc32(data), int(hashlib.md5(data).hexdigest()[:15], 16), i))
+    keyed.sort()
+    want = {k[-1]: (r * 8 // 400, r - -(-(r * 8 // 400) * 400 // 8), k[0]) for r, k in enumerate(keyed)}
+    got = {r.doc_id: (r.shard, r.slot, r.hilbert) for r in sharding.hilbert_shards(documents(texts, langs)).collect()}
+    assert got == want
