@@ -9,8 +9,9 @@ the two base rules and no ratio lies beyond its group's fences: the quartiles, w
 times their distance (or the ratio's least distance, where a group hardly varies).
 
 Defined cases: a null text has no words and fails the base rules; null language or source form a
-group of their own; a document without words has ratios of zero; repeated rows are judged alike and
-each is returned; an empty table gives an empty result; columns other than doc_id, text, lang and
+group of their own; a document without words has ratios of zero; a ratio equal to a fence is inside; repeated
+rows are judged alike and each is returned; long texts are read whole (a text of n words needs arrays of n
+places in its task); an empty table gives an empty result; columns other than doc_id, text, lang and
 source are neither read nor in the way (`judge` works on any frame with those four).
 """
 
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 from palaver.llm.common import WORD, join_sized, stored, table, words
 
 SYMBOLS = "[#*$%&|<>]"
+#: Hash of a window's three words; results do not depend on it.
+HASH = "xxhash64({})"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 #: Documents that a group needs for thresholds of its own.
@@ -39,17 +42,28 @@ def windows(ws: str, bits: str) -> Column:
     The leading bits of the window's hash stand above the `bits` bits of its place (a column). The array
     holds plain longs without nulls, which Spark sorts without a comparator.
     """
-    packed = f"sort_array(transform(sequence(0, size({ws}) - 3), i -> shiftleft(xxhash64({ws}[i], {ws}[i + 1], {ws}[i + 2]), {bits}) | bigint(i)))"
+    hashed = HASH.format(f"{ws}[i], {ws}[i + 1], {ws}[i + 2]")
+    packed = f"sort_array(transform(sequence(0, size({ws}) - 3), i -> shiftleft({hashed}, {bits}) | bigint(i)))"
     return F.expr(f"case when size({ws}) > 3 then {packed} else cast(array() as array<bigint>) end")
 
 
-def covered(ws: str, packed: str, bits: str, mask: str) -> Column:
-    """Words inside windows that occur at least twice: equal windows are neighbours in `packed`, and
-    neighbours whose hash bits agree are compared word by word."""
+def covered(ws: str, packed: str, mask: str) -> Column:
+    """Words inside windows that occur at least twice, exactly.
+
+    Windows of equal hash bits are neighbours in `packed`. If all such neighbours have equal words, windows
+    are equal to one of theirs or to none. Else, where different windows share bits, they may stand between
+    equal ones; there the windows with a neighbour of equal bits are sorted by their words.
+    """
     place = lambda x: f"int({x} & {mask})"
-    same = lambda a, b: f"(({a} ^ {b}) <= {mask} and ({a} ^ {b}) >= 0 and {ws}[{place(a)}] = {ws}[{place(b)}] and {ws}[{place(a)} + 1] = {ws}[{place(b)} + 1] and {ws}[{place(a)} + 2] = {ws}[{place(b)} + 2])"
-    twice = f"filter({packed}, (x, j) -> (j > 0 and {same('x', packed + '[j - 1]')}) or (j < size({packed}) - 1 and {same('x', packed + '[j + 1]')}))"
-    return F.expr(f"case when size(__next) = 0 then 0 else size(array_distinct(flatten(transform({twice}, x -> array({place('x')}, {place('x')} + 1, {place('x')} + 2))))) end").cast("long")
+    bits = lambda a, b: f"(({a} ^ {b}) <= {mask} and ({a} ^ {b}) >= 0)"
+    alike = lambda a, b: " and ".join(f"{ws}[{place(a)} + {k}] = {ws}[{place(b)} + {k}]" for k in range(3))
+    beside = lambda p, same: f"filter({p}, (x, j) -> (j > 0 and {same('x', p + '[j - 1]')}) or (j < size({p}) - 1 and {same('x', p + '[j + 1]')}))"
+    near = beside(packed, bits)
+    clash = f"exists(sequence(0, size({packed}) - 2), j -> {bits(f'{packed}[j]', f'{packed}[j + 1]')} and not ({alike(f'{packed}[j]', f'{packed}[j + 1]')}))"
+    spelt = f"array_sort(transform({near}, x -> struct(concat_ws(' ', slice({ws}, {place('x')} + 1, 3)) as w, {place('x')} as at)))"
+    places = f"""case when {clash} then transform(transform(array({spelt}), s -> {beside('s', lambda a, b: f'{a}.w = {b}.w')})[0], x -> x.at)
+      else transform({beside(packed, lambda a, b: f'({bits(a, b)} and {alike(a, b)})')}, x -> {place('x')}) end"""
+    return F.expr(f"case when size(__next) = 0 then 0 else size(array_distinct(flatten(transform({places}, i -> array(i, i + 1, i + 2))))) end").cast("long")
 
 
 def measured(df: DataFrame) -> DataFrame:
@@ -69,7 +83,7 @@ def measured(df: DataFrame) -> DataFrame:
     })
     # Most documents have no window twice; for them one cheap look at each neighbour is all.
     step = step.withColumn("__next", F.expr("filter(__packed, (x, j) -> shiftrightunsigned(x ^ get(__packed, j + 1), __bits) = 0)"))
-    return step.withColumn("n_repeat_words", covered("__words", "__packed", "__bits", "__mask")).drop("__words", "__lines", "__packed", "__bits", "__mask", "__next")
+    return step.withColumn("n_repeat_words", covered("__words", "__packed", "__mask")).drop("__words", "__lines", "__packed", "__bits", "__mask", "__next")
 
 
 def base_failed() -> Column:

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from palaver.llm import quality
 
 
@@ -29,6 +30,23 @@ def test_measures_equal_brute_force(spark, documents):
         assert tuple(got[i][c] for c in quality.BASE) == brute(t), t
 
 
+@pytest.mark.parametrize("hashed", ["bigint(0 * xxhash64({}))", "pmod(xxhash64({}), 2)", "pmod(xxhash64({}), 7)"])
+def test_equal_hash_bits_hide_no_repeat(spark, documents, monkeypatch, hashed):
+    monkeypatch.setattr(quality, "HASH", hashed)
+    rows = [t for t in texts() if len(t or "") < 2000]
+    got = {r.doc_id: r for r in quality.measured(documents(rows).select("doc_id", "text")).collect()}
+    for i, t in enumerate(rows):
+        assert tuple(got[i][c] for c in quality.BASE) == brute(t), t
+
+
+def test_very_long_text(spark, documents):
+    rng = random.Random(8)
+    rows = [" ".join(f"w{rng.randrange(40_000)}" for _ in range(200_000)) + " a b c d\n" * 200, "x" * 1_000_000]
+    got = {r.doc_id: r for r in quality.measured(documents(rows).select("doc_id", "text")).collect()}
+    for i, t in enumerate(rows):
+        assert tuple(got[i][c] for c in quality.BASE) == brute(t)
+
+
 def prose(rng, n=120):
     return " ".join("".join(rng.choices("abcdefghij", k=rng.randint(3, 8))) for _ in range(n))
 
