@@ -5,18 +5,26 @@ of fewer words is one shingle). A document holds an item if some window of the i
 has a weighted similarity of 0.8 or more with it: shingles weighted by their number of occurrences, the
 sum of the lesser weights over the sum of the greater ones. Steps:
 
-1. Places of documents whose shingle is one of an item are looked up. A window begins, without loss, at
-   such a place (or at the document's last window): moving it there keeps every shingle that counts.
-   Windows with fewer such places than the similarity needs are left out, again without loss.
-2. The exact similarity of every window that is left decides. No fingerprint stands between: its distance
-   has no bound at a given similarity (a repeated shingle or a short text takes it beyond any radius).
-
-Equal items are one item, with the least item_id; equal window contents are compared once.
+1. Windows of the size of items. A window that holds an item begins, without loss, at a place whose
+   shingle is one of an item (or is the document's last): moving it there keeps every shingle that counts.
+   Windows of a size with fewer such places than the similarity needs hold no item, whichever it be. What
+   item a place belongs to is not kept; equal window contents are one.
+2. SimHash of each window and each item: 128 bits, by majority over hashes of (shingle, number of the
+   occurrence). As each occurrence has a hash of its own, a repeated shingle weighs no more than others.
+3. Multi-index: the bits are parted into RADIUS + 1 blocks, and a window meets the items of its size with
+   which it has a block in common. Every fingerprint within RADIUS bits is met, as so many differences
+   can not touch all blocks. Others are dropped by their distance.
+4. The exact similarity of each pair that is left decides.
+
+RADIUS is 52 of 128: at a similarity of 0.8, 20 bits differ on average with a deviation of 4.1, so a pair
+at the very limit is beyond it with a probability of about 1e-12, and closer pairs with less.
+
+Equal items are one item, with the least item_id; `item_classes` gives the others' class.
 
 Defined cases: null or empty texts hold no item and null or empty items are in no document; a document
-shorter than an item is one window, whole; rows that share doc_id give the pairs of all their texts, each
-pair once, with the best window; an empty table on either side gives an empty result; other columns are
-not read.
+shorter than an item is one window, whole; long texts are read whole; rows that share doc_id give the
+pairs of all their texts, each pair once, with the best window, the first of equals; an empty table on
+either side gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,8 +36,9 @@ from palaver.llm.common import join_sized, stored, table
 
 SHINGLE = 5
 PERCENT = 80
-#: Radius of the fingerprint index that once chose windows; only its test reads it.
-RADIUS = 24
+#: Bits of a fingerprint (in longs of 64), and how many of them may differ.
+LONGS = 2
+RADIUS = 52
 #: Keys of one or two longs that may be broadcast.
 NARROW_ROWS = 500_000
 
@@ -66,43 +75,93 @@ def hits(docs: DataFrame, shingles: DataFrame, k: int) -> DataFrame:
 
 
 def windows(found: DataFrame, shingles: DataFrame) -> DataFrame:
-    """doc, d, item, k, n, start, size: windows with as many places as the similarity needs."""
-    pairs = found.join(shingles.drop("c"), "h").groupBy("doc", "d", "item", "k", "n", "m").agg(F.sort_array(F.collect_list("pos")).alias("at"))
-    w = pairs.withColumn("size", F.least("n", "m"))
+    """doc, d, k, n, start, size: windows of the size n of some item (or the whole of a shorter document) with as many
+    places as any item of that size needs."""
+    sizes = shingles.select("k", "n", "h").distinct()
+    places = found.join(sizes, "h").groupBy("doc", "d", "k", "n", "m").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    w = places.withColumn("size", F.least("n", "m"))
     w = w.withColumn("need", F.expr(f"int(({PERCENT} * (n + size) + {99 + PERCENT}) div {100 + PERCENT})"))
     starts = F.expr("filter(at, (p, i) -> p <= m - size and get(at, i + need - 1) < p + size)")
     last = F.expr("filter(array(int(m - size)), s -> get(at, size(at) - need) >= s)")
-    return w.where(F.size("at") >= F.col("need")).select("doc", "d", "item", "k", "n", "size", F.explode(F.array_distinct(F.concat(starts, last))).alias("start"))
+    return w.where(F.size("at") >= F.col("need")).select("doc", "d", "k", "n", "size", F.explode(F.array_distinct(F.concat(starts, last))).alias("start"))
 
 
-def found_windows(documents: DataFrame, benchmark: DataFrame) -> DataFrame | None:
-    """doc, d (hash of the text), item, k, start, similarity, size: windows that hold an item; None without items."""
-    docs = documents.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("d"), "text").where(F.col("text").isNotNull())
-    items, shingles = items_of(benchmark)
-    sizes = sorted(r[0] for r in items.select("k").distinct().collect())  # at most SHINGLE of them
-    pairs = None
-    for k in sizes:
-        places = windows(hits(docs, shingles, k), shingles)
-        pairs = places if pairs is None else pairs.unionByName(places)
-    if pairs is None:
-        return None
-    pairs = stored(pairs.distinct())
+def contents(docs: DataFrame, places: DataFrame, sizes: list[int]) -> DataFrame:
+    """places with the window's hashes (hs) and their digest (content)."""
     null_safe = lambda a, b: F.col(a).eqNullSafe(F.col(b))
     cut = None
     for k in sizes:
-        own = pairs.where(F.col("k") == k)
+        own = places.where(F.col("k") == k)
         wanted = own.select(F.col("doc").alias("doc2"), F.col("d").alias("d2")).distinct()
         again = join_sized(docs, wanted, null_safe("doc", "doc2") & (F.col("d") == F.col("d2")), "left_semi", NARROW_ROWS).dropDuplicates(["doc", "d"])
         hashed = _hashed(again, k).select(F.col("doc").alias("doc2"), F.col("d").alias("d2"), "hs")
-        part = own.join(hashed, null_safe("doc", "doc2") & (F.col("d") == F.col("d2"))).select("doc", "d", "item", "n", "k", "start", F.slice("hs", F.col("start") + 1, F.col("size").cast("int")).alias("hs"))
+        part = own.join(hashed, null_safe("doc", "doc2") & (F.col("d") == F.col("d2"))).select("doc", "d", "k", "n", "start", F.slice("hs", F.col("start") + 1, F.col("size").cast("int")).alias("hs"))
         cut = part if cut is None else cut.unionByName(part)
-    cut = stored(cut.withColumn("content", F.xxhash64("hs")))
-    contents = stored(cut.groupBy("item", "content").agg(F.first("hs").alias("hs"), F.max("n").alias("n")))
-    weighted = stored(contents.select("item", "content", F.explode("hs").alias("h")).groupBy("item", "content", "h").agg(F.count("*").alias("c")))
-    common = weighted.join(shingles.select("item", "h", F.col("c").alias("ci")), ["item", "h"]).groupBy("item", "content").agg(F.sum(F.least("c", "ci")).alias("common"))
-    sim = F.col("common") / (F.size("hs") + F.col("n") - F.col("common"))
-    good = common.join(contents, ["item", "content"]).withColumn("similarity", sim).where(F.col("common") * (100 + PERCENT) >= (F.size("hs") + F.col("n")) * PERCENT).select("item", "content", "similarity", (F.size("hs") + F.lit(0)).cast("long").alias("size"))
-    return cut.join(good, ["item", "content"])
+    return cut.withColumn("content", F.xxhash64("hs"))
+
+
+def fingerprints(weighted: DataFrame, *key: str) -> DataFrame:
+    """key and fp, an array of longs, from rows (key, h, c): bit by bit the majority over hashes of each occurrence of h."""
+    each = weighted.select(*key, F.explode(F.transform(F.sequence(F.lit(1), F.col("c").cast("int")), lambda i: F.struct(*[F.xxhash64("h", i, F.lit(w)).alias(f"f{w}") for w in range(LONGS)]))).alias("f"))
+    ones = [F.sum(F.shiftrightunsigned(f"f.f{w}", b).bitwiseAND(1)).alias(f"b{w}_{b}") for w in range(LONGS) for b in range(64)]
+    sums = each.groupBy(*key).agg(F.count("*").alias("all"), *ones)
+    word = lambda w: " + ".join(f"shiftleft(bigint(2 * b{w}_{b} > all), {b})" for b in range(64))
+    return sums.select(*key, F.array(*[F.expr(word(w)) for w in range(LONGS)]).alias("fp"))
+
+
+def blocks(fp: str) -> Column:
+    """The fingerprint's bits in RADIUS + 1 blocks, each with its number above them, as one array of longs."""
+    bits, edges = 64 * LONGS, [i * 64 * LONGS // (RADIUS + 1) for i in range(RADIUS + 2)]
+    out = []
+    for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        w, at = divmod(a, 64)
+        low = f"shiftrightunsigned({fp}[{w}], {at})"
+        if at + b - a > 64:  # goes on in the next long
+            low = f"({low} | shiftleft({fp}[{w + 1}], {64 - at}))"
+        out.append(f"({low} & {(1 << (b - a)) - 1}L) + {i << 8}L")
+    assert edges[-1] == bits
+    return F.expr(f"array({', '.join(out)})")
+
+
+def near_pairs(window_prints: DataFrame, item_prints: DataFrame) -> DataFrame:
+    """content, item: pairs of the same k and n whose fingerprints differ in RADIUS bits or fewer.
+
+    window_prints: content, k, n, fp; item_prints: item, k, n, fp.
+    """
+    key = ["k", "n", "block"]
+    left = window_prints.withColumn("block", F.explode(blocks("fp")))
+    right = item_prints.select("item", "k", "n", F.col("fp").alias("fp2"), F.explode(blocks("fp")).alias("block"))
+    far = sum((F.bit_count(F.col("fp")[w].bitwiseXOR(F.col("fp2")[w])) for w in range(LONGS)), F.lit(0))
+    return join_sized(left, right, key, "inner", NARROW_ROWS).where(far <= RADIUS).select("content", "item").distinct()
+
+
+def found_windows(documents: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+    """doc, d (hash of the text), item, k, start, similarity, size: windows that hold an item; None without items."""
+    docs = documents.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("d"), "text").where(F.col("text").isNotNull())
+    items, shingles = items_of(benchmark)
+    sizes = sorted(r[0] for r in items.select("k").distinct().collect())  # at most SHINGLE of them
+    if not sizes:
+        return None
+    places = None
+    for k in sizes:
+        own = windows(hits(docs, shingles, k), shingles.where(F.col("k") == k))
+        places = own if places is None else places.unionByName(own)
+    cut = stored(contents(docs, stored(places.distinct()), sizes))
+    once = stored(cut.groupBy("content", "k", "n").agg(F.first("hs").alias("hs")))
+    weighted = stored(once.select("content", "k", "n", F.explode("hs").alias("h")).groupBy("content", "k", "n", "h").agg(F.count("*").alias("c")))
+    pairs = stored(near_pairs(fingerprints(weighted, "content", "k", "n"), fingerprints(shingles, "item", "k", "n")))
+    shared = pairs.join(weighted, "content").join(shingles.select("item", "k", "n", "h", F.col("c").alias("ci")), ["item", "k", "n", "h"])
+    common = shared.groupBy("item", "content", "k", "n").agg(F.sum(F.least("c", "ci")).alias("common"))
+    sized = once.select("content", "k", "n", F.size("hs").cast("long").alias("size"))
+    good = common.join(sized, ["content", "k", "n"]).where(F.col("common") * (100 + PERCENT) >= (F.col("size") + F.col("n")) * PERCENT)
+    good = good.select("content", "k", "n", "item", "size", (F.col("common") / (F.col("size") + F.col("n") - F.col("common"))).alias("similarity"))
+    return cut.drop("hs").join(good, ["content", "k", "n"])
+
+
+def item_classes(benchmark: DataFrame) -> DataFrame:
+    """item_id, item: the least id of the items with the same words, which stands for all of them in the results."""
+    ws = benchmark.select("item_id", plain_words(F.col("text")).alias("ws")).where(F.size("ws") > 0)
+    return ws.join(ws.groupBy("ws").agg(F.min("item_id").alias("item")), "ws").select("item_id", "item")
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
