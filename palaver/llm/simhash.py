@@ -9,13 +9,15 @@ anchors, or one for a codeword. So of two fingerprints with at most one differin
 meets the other at its home anchor, and comparing homes with all members, anchor by anchor, finds
 every link. Equal fingerprints are one point; 2**26 anchors a half keep the meetings few.
 
-Where many distinct fingerprints share an anchor, its members are dealt into slices, and each pair of
-slices is compared in a task of its own. An anchor gives links enough to connect whatever its
+Where many distinct fingerprints share an anchor, its homes and members are dealt into slices, and each
+pair of slices is compared in a task of its own. An anchor gives links enough to connect whatever its
 comparisons connect, not all pairs.
 
 Those shingles of three words and three bits are op1's. The pipeline's stage (`deduplicated`) takes
 texts for near copies whose sets of five-word shingles have a similarity (common over all) of 0.8 or
-more: candidates share a band of minimum hashes, and the exact similarity of the sets decides.
+more. At 0.8 fingerprints differ in a seventh of their bits, which anchors can not cover (a half of 32
+bits stays within one flip for one pair in 28), so candidates share a band of minimum hashes instead, and
+the exact similarity of the sets decides.
 
 Defined cases: null and empty texts, and texts of white space, have no shingle and the fingerprint
 zero; texts with fewer words than a shingle are one shingle; repeated rows and equal texts share a
@@ -28,11 +30,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palaver.llm.common import join_sized, small_enough, stored, table
+from palaver.llm.common import join_sized, stored, table
 from palaver.llm.components import components
 from palaver.shipping import ship
 
@@ -51,10 +53,12 @@ PERCENT = 80
 #: Their sketch: bands of minimum hashes. Sets of similarity 0.8 share no band with probability (1 - 0.8^4)^32 = 5e-8.
 BANDS, BAND = 32, 4
 FACTORS, TERMS = np.random.default_rng(SEED).integers(0, 1 << 32, (2, BANDS * BAND), np.uint32) | np.array([[1], [0]], np.uint32)
-#: Differing bits of the wide code (four of each minimum): 51 at similarity 0.8 on average, with a deviation of 10.
-CODE_BITS = 115
-#: Members of a band that all others are compared with at first.
-LEADS = 4
+#: Single minimum hashes that group what the bands leave open: none is shared with probability 0.2^10 = 1e-7.
+SINGLES = 10
+#: Minimum hashes of which four bits may differ: 24 at similarity 0.8 on average, with a deviation of 4.4.
+CODE_DIFFERS = 50
+#: Members and shingles of a slice of such a group.
+MEMBERS, SHINGLES = 500, 500_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -110,23 +114,24 @@ def anchored(points: DataFrame) -> DataFrame:
 
 
 def _sliced(rows: DataFrame, size: int) -> DataFrame:
-    """rows with a cell: 0, or for anchors with many homes one cell for each pair of a slice of homes and a slice of members."""
-    hot = rows.where("home").groupBy("anchor").agg(F.count("*").alias("homes")).where(F.col("homes") > size)
-    hot = stored(hot.select("anchor", F.ceil(F.sqrt(F.col("homes") / size)).cast("int").alias("k")))
+    """rows with a cell: 0, or for anchors with many homes or members one cell for each pair of a slice of homes and
+    one of members."""
+    count = rows.groupBy("anchor").agg(F.count_if("home").alias("homes"), F.count("*").alias("members"))
+    hot = count.where((F.col("homes") > 0) & ((F.col("homes") > size) | (F.col("members") > 8 * size)))
+    kh = F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("homes") / size)).cast("int"))
+    hot = stored(hot.select("anchor", kh.alias("kh"), F.greatest(kh, F.ceil(F.col("members") / (8 * size)).cast("int")).alias("km")))
     if hot.isEmpty():
         return rows.withColumn("cell", F.lit(0))
-    side = F.broadcast(hot) if small_enough(hot, 100_000) else hot
-    k, own = F.col("k"), F.pmod(F.xxhash64("fp"), F.col("k")).cast("int")
+    kh, km, own = F.col("kh"), F.col("km"), F.xxhash64("fp")
+    cell = lambda i, j, home: F.struct((i * km + j).cast("int").alias("cell"), F.lit(home).alias("home"))
     # A member stands in the cells of its column; if at home here, in those of its row as well, as a home.
-    cells = F.when(k.isNull(), F.array(F.struct(F.lit(0).alias("cell"), F.col("home").alias("home")))).otherwise(
+    cells = F.when(kh.isNull(), F.array(F.struct(F.lit(0).alias("cell"), F.col("home").alias("home")))).otherwise(
         F.concat(
-            F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.struct((i * k + own).alias("cell"), F.lit(False).alias("home"))),
-            F.when(F.col("home"), F.transform(F.sequence(F.lit(0), k - 1), lambda j: F.struct((own * k + j).alias("cell"), F.lit(True).alias("home")))).otherwise(
-                F.expr("cast(array() as array<struct<cell:int,home:boolean>>)")
-            ),
+            F.transform(F.sequence(F.lit(0), kh - 1), lambda i: cell(i, F.pmod(own, km), False)),
+            F.when(F.col("home"), F.transform(F.sequence(F.lit(0), km - 1), lambda j: cell(F.pmod(own, kh), j, True))).otherwise(F.expr("cast(array() as array<struct<cell:int,home:boolean>>)")),
         )
     )
-    return rows.join(side, "anchor", "left").select("anchor", "fp", F.explode(cells).alias("c")).select("anchor", "fp", "c.home", "c.cell")
+    return join_sized(rows, hot, "anchor", "left").select("anchor", "fp", F.explode(cells).alias("c")).select("anchor", "fp", "c.home", "c.cell")
 
 
 def _group_links(homes: np.ndarray, members: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
@@ -224,8 +229,8 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(np.array([h(flat[a:b], SEED) for a, b in zip(starts.tolist(), ends[max(k - 1, 0) :].tolist(), strict=True)], np.uint64))
 
 
-def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the bands and the wide code of a set of shingles, both as longs."""
+def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a set of shingles the keys of the bands, four bits of each minimum hash, and the keys of single ones, as longs."""
     low, mins = hashes.astype(np.uint32), np.full(BANDS * BAND, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(low), 512):
         np.minimum(mins, (FACTORS[:, None] * low[None, at : at + 512] + TERMS[:, None]).min(axis=1), out=mins)
@@ -234,13 +239,15 @@ def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keys = (keys ^ column) * np.uint64(0x9E3779B97F4A7C15)
         keys ^= keys >> np.uint64(29)
     nibbles = (mins & 15).astype(np.uint8)
-    return keys.view(np.int64), (nibbles[::2] | nibbles[1::2] << 4).view(np.int64)
+    singles = mins[:SINGLES].astype(np.uint64) | np.arange(SINGLES, dtype=np.uint64) << np.uint64(32)
+    return keys.view(np.int64), (nibbles[::2] | nibbles[1::2] << 4).view(np.int64), singles.view(np.int64)
 
 
 def sketches(df: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
-    """doc_id, d (hash of the text), s (hash of its set of shingles), n (their number), keys and code of the sketch."""
+    """doc_id, d (hash of the text), s (hash of its set of shingles), n (their number), keys, code and singles of the sketch."""
     ship(df.sparkSession)
-    schema = T.StructType([df.schema["doc_id"], *T._parse_datatype_string("d long, s long, n int, keys array<long>, code array<long>").fields])
+    schema = T.StructType([df.schema["doc_id"], *T._parse_datatype_string("d long, s long, n int, keys array<long>, code array<long>, singles array<long>").fields])
+    empty = np.zeros(0, np.int64), np.zeros(BANDS * BAND // 16, np.int64), np.zeros(0, np.int64)
 
     def run(batches):
         for batch in batches:
@@ -248,25 +255,15 @@ def sketches(df: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
                 part, out = batch.slice(at, 1000), []
                 for text in part.column(2):
                     hs = shingle_set(text.as_py(), shingle)
-                    keys, code = sketch(hs) if len(hs) else (np.zeros(0, np.int64), np.zeros(8, np.int64))
-                    out.append((np.uint64(xxhash.xxh64_intdigest(hs.tobytes(), SEED)).astype(np.int64), len(hs), keys, code))
-                s, n, keys, code = zip(*out, strict=True)
-                longs = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(s, pa.int64()), pa.array(n, pa.int32()), pa.array(keys, longs), pa.array(code, longs)], schema.fieldNames())
+                    out.append((np.uint64(xxhash.xxh64_intdigest(hs.tobytes(), SEED)).astype(np.int64), len(hs), *(sketch(hs) if len(hs) else empty)))
+                s, n, *lists = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(s, pa.int64()), pa.array(n, pa.int32()), *(pa.array(x, pa.list_(pa.int64())) for x in lists)], schema.fieldNames())
 
     return df.select("doc_id", F.xxhash64("text").alias("d"), "text").mapInArrow(run, schema)
 
 
-def _alike() -> Column:
-    """Of a pair with n, code and n2, code2: whether size and code allow the similarity."""
-    differ = sum((F.bit_count(F.col("code")[i].bitwiseXOR(F.col("code2")[i])) for i in range(BANDS * BAND // 16)), F.lit(0))
-    return (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * PERCENT) & (differ <= CODE_BITS)
-
-
-def _similar(df: DataFrame, points: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    """The pairs (a, b) of sets whose exact similarity is PERCENT or more."""
-    wanted = pairs.select(F.col("a").alias("s")).union(pairs.select(F.col("b").alias("s"))).distinct()
-    wanted = stored(points.select("s", "d").join(wanted, "s"))
+def shingle_sets(df: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """s, hs (sorted hashes) of the sets wanted; wanted: s and d, the hash of a text that has the set."""
     texts = join_sized(df.select("text", F.xxhash64("text").alias("d")), wanted, "d", "inner", NARROW_ROWS).dropDuplicates(["s"])
 
     def run(batches):
@@ -276,37 +273,104 @@ def _similar(df: DataFrame, points: DataFrame, pairs: DataFrame, shingle: int) -
                 hs = [shingle_set(t.as_py(), shingle).view(np.int64) for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(hs, pa.list_(pa.int64()))], ["s", "hs"])
 
-    sets = stored(texts.select("s", "text").mapInArrow(run, "s long, hs array<long>"))
-    both = pairs.join(sets.select(F.col("s").alias("b"), F.col("hs").alias("hb")), "b").join(sets.select(F.col("s").alias("a"), F.col("hs").alias("ha")), "a")
-    return both.where(F.size(F.array_intersect("ha", "hb")) * (100 + PERCENT) >= (F.size("ha") + F.size("hb")) * PERCENT).select("a", "b")
+    return texts.select("s", "text").mapInArrow(run, "s long, hs array<long>")
+
+
+def open_links(members: DataFrame) -> DataFrame:
+    """a, b: links of exact similarity PERCENT or more that connect, in each group, all roots that such links connect.
+
+    members: key (of the group), cell, part (slice), first and second (the slices that meet in the cell), s,
+    root, n, code, hs. Pairs are compared inside the task; only links between roots not connected yet leave it.
+    """
+    ship(members.sparkSession)
+    dealt = members.repartition("key", "cell").sortWithinPartitions("key", "cell", "s")
+
+    def compare(rows):
+        s, root, part, first, second, hs, code = ([r[c] for r in rows] for c in ("s", "root", "part", "first", "second", "hs", "code"))
+        sets = [np.sort(np.asarray(x, np.int64)) for x in hs]
+        codes, sizes, part = np.array(code, np.int64).view(np.uint64), np.array([len(x) for x in sets]), np.array(part)
+        label = np.unique(root, return_inverse=True)[1]
+        across = first[0] != second[0]
+        for i in range(len(s)):
+            if across and part[i] != first[0]:
+                continue
+            x = codes ^ codes[i]
+            x |= x >> np.uint64(2)
+            x |= x >> np.uint64(1)
+            differ = np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1)
+            near = (differ <= CODE_DIFFERS) & (np.minimum(sizes, sizes[i]) * 100 >= np.maximum(sizes, sizes[i]) * PERCENT)
+            near &= (part == second[0]) if across else (np.arange(len(s)) > i)
+            for j in np.flatnonzero(near & (label != label[i])).tolist():
+                if label[i] == label[j]:
+                    continue
+                common = sizes[i] + sizes[j] - len(np.union1d(sets[i], sets[j]))
+                if common * (100 + PERCENT) >= (sizes[i] + sizes[j]) * PERCENT:
+                    label[label == label[j]] = label[i]
+                    yield s[i], s[j]
+
+    def run(batches):
+        columns = ["key", "cell", "s", "root", "part", "first", "second", "hs", "code"]
+        group: list[dict] = []
+        for batch in _then_none(batches):
+            rows = (r.as_py() for r in pa.Table.from_batches([batch]).select(columns).to_struct_array()) if batch is not None else [None]
+            links = []
+            for row in rows:
+                if group and (row is None or (row["key"], row["cell"]) != (group[0]["key"], group[0]["cell"])):
+                    links += compare(group)
+                    group.clear()
+                if row is not None:
+                    group.append(row)
+            if links:
+                a, b = zip(*links, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _dealt(rows: DataFrame, members: int) -> DataFrame:
+    """rows (key, root, n, ...) of groups with several roots, with the cells in which their slices meet."""
+    groups = rows.groupBy("key").agg(F.count("*").alias("m"), F.sum("n").alias("all"), F.min("root").alias("low"), F.max("root").alias("high"))
+    k = F.ceil(F.greatest(F.col("m") / members, F.col("all") / SHINGLES)).cast("int")
+    groups = stored(groups.where("low <> high").select("key", F.greatest(k, F.lit(1)).alias("k")))
+    own = F.pmod(F.xxhash64("s"), F.col("k")).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda j: F.struct(F.least(own, j).alias("first"), F.greatest(own, j).alias("second")))
+    placed = join_sized(rows, groups, "key", "inner").withColumn("part", own).withColumn("meet", F.explode(meets))
+    return placed.select("key", "s", "root", "n", "part", "meet.first", "meet.second", (F.col("meet.first") * F.col("k") + F.col("meet.second")).alias("cell"))
 
 
-def near_copies(df: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
+def near_copies(df: DataFrame, shingle: int = COPY_SHINGLE, members: int = MEMBERS) -> DataFrame:
     """doc_id, d (hash of the text), root: one value for texts that links of similarity PERCENT or more connect.
 
-    Sets that share a band are candidates. First each is compared with LEADS members of its band; then,
-    band by band, all that are not connected yet. Only exact similarity makes a link.
+    Sets that share a band are candidates. First each is compared with two leads of each of its bands (the
+    set that shares most bands with others, and that of the least hash). What those links leave open, sets
+    that share a band but no root, meets in groups by single minimum hashes, and is compared there, inside
+    the tasks, until nothing is left. Only exact similarity makes a link.
     """
     prints = stored(sketches(df, shingle))
     points = stored(prints.drop("doc_id").dropDuplicates(["s"]))
     bands = points.select("s", F.explode("keys").alias("key"))
-    leads = bands.groupBy("key").agg(F.count("*").alias("size"), *[F.min_by("s", F.xxhash64("s", F.lit(i))).alias(f"lead{i}") for i in range(LEADS)]).where("size > 1")
-    led = bands.join(leads, "key").select("s", F.explode(F.array_distinct(F.array(*[f"lead{i}" for i in range(LEADS)]))).alias("t")).where("s <> t")
-    about = points.select("s", "n", "code")
-    about2 = about.select(F.col("s").alias("b"), F.col("n").alias("n2"), F.col("code").alias("code2"))
-    first = led.select(F.least("s", "t").alias("s"), F.greatest("s", "t").alias("b")).distinct().join(about2, "b").join(about, "s").where(_alike())
-    first = stored(first.select(F.col("s").alias("a"), "b"))
-    links = stored(_similar(df, points, first, shingle))
-    roots = components(links).withColumnRenamed("node", "s")
-    rooted = bands.join(roots, "s", "left").withColumn("root", F.coalesce("root", "s"))
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    open_ = stored(rooted.join(mixed, "key").join(about, "s"))
-    other = open_.select("key", F.col("s").alias("b"), F.col("root").alias("root2"), F.col("n").alias("n2"), F.col("code").alias("code2"))
-    rest = open_.join(other, (open_["key"] == other["key"]) & (F.col("s") < F.col("b")) & (F.col("root") != F.col("root2")) & _alike())
-    rest = stored(rest.select(F.col("s").alias("a"), "b").distinct().join(first, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        links = links.union(stored(_similar(df, points, rest, shingle)))
-        roots = components(links).withColumnRenamed("node", "s")
+    sizes = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = stored(bands.join(sizes, "key"))
+    score = shared.groupBy("s").agg(F.sum("size").alias("score"))
+    lead = lambda order: F.max_by("s", order)
+    leads = stored(shared.join(score, "s").groupBy("key").agg(lead(F.struct("score", "s")).alias("lead0"), lead(F.xxhash64("s")).alias("lead1")))
+    led = join_sized(shared, leads, "key", "inner").select("s", F.explode(F.array("lead0", "lead1")).alias("lead")).where("s <> lead")
+    pairs = stored(led.distinct())
+    wanted = stored(points.select("s", "d").join(shared.select("s").distinct(), "s"))
+    sets = stored(shingle_sets(df, wanted, shingle))
+    other = sets.select(F.col("s").alias("lead"), F.col("hs").alias("hs2"))
+    enough = F.size(F.array_intersect("hs", "hs2")) * (100 + PERCENT) >= (F.size("hs") + F.size("hs2")) * PERCENT
+    links = stored(pairs.join(sets, "s").join(other, "lead").where(enough).select(F.col("s").alias("a"), F.col("lead").alias("b")))
+    roots = stored(components(links).withColumnRenamed("node", "s"))
+    rooted = shared.join(roots, "s", "left").withColumn("root", F.coalesce("root", "s"))
+    mixed = stored(rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key"))
+    if not mixed.isEmpty():
+        left = stored(join_sized(rooted.drop("size"), mixed, "key", "left_semi").select("s", "root").distinct())
+        facts = stored(points.select("s", "n", "code", "singles").join(left, "s"))
+        placed = _dealt(facts.select("s", "root", "n", F.explode("singles").alias("key")), members)
+        full = placed.join(facts.select("s", "code").join(sets, "s"), "s")
+        links = links.union(stored(open_links(full)))
+        roots = stored(components(links).withColumnRenamed("node", "s"))
     return prints.select("doc_id", "d", "s").join(roots, "s", "left").select("doc_id", "d", F.coalesce("root", "s").alias("root"))
 
 
@@ -317,7 +381,8 @@ def deduplicated(df: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
     without an id only if none has one; of equal rows one stays.
     """
     rows = stored(near_copies(df, shingle))
-    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "d")).alias("first"))
+    # Both sides are stored, so that Spark may split a large group's rows over tasks.
+    first = stored(rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "d")).alias("first")))
     kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("d") == F.col("first.d"))
     ids = stored(rows.join(first, "root").groupBy("doc_id", "d").agg(F.max(kept).alias("kept"), F.count("*").alias("n")))
     key = [F.col("doc_id").alias("__id"), F.col("d").alias("__d")]

@@ -96,3 +96,41 @@ def test_rows_that_share_an_id_or_have_none(spark, documents):
     texts = ["a b c d e f", "g h i j k l", "m n o p q r", "m n o p q r", "s t u v w x", "y z a b c d", "y z a b c d"]
     kept = simhash.deduplicated(documents(texts, ids=[None, None, None, 4, 5, 5, 5])).collect()
     assert sorted((str(r.doc_id), r.text) for r in kept) == [("4", texts[2]), ("5", texts[4]), ("5", texts[5]), ("None", texts[0]), ("None", texts[1])]
+
+
+def family(rng, size, edits, words=200):
+    base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+    for _ in range(size):
+        copy = list(base)
+        for at in rng.sample(range(words), rng.choice(edits)):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        yield " ".join(copy)
+
+
+def kept_by_brute_force(texts):
+    shingles = [{tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and 10 * len(shingles[i] & shingles[j]) >= 8 * len(shingles[i] | shingles[j]):
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    return {min(i for i, r in enumerate(root) if r == x) for x in set(root)}
+
+
+def test_families_without_a_centre_lose_no_link(spark, documents):
+    # Copies whose mutual similarity lies on both sides of 0.8, so that leads alone do not connect them.
+    rng = random.Random(21)
+    texts = [*family(rng, 90, (1, 2, 3, 4, 5)), *family(rng, 40, (2, 3)), *family(rng, 12, (0, 9))]
+    want = kept_by_brute_force(texts)
+    assert 20 < len(want) < 110
+    for members in (500, 7):
+        rows = simhash.near_copies(documents(texts), members=members).collect()
+        got = {min(r.doc_id for r in rows if r.root == x) for x in {r.root for r in rows}}
+        assert got == want
+
+
+def test_few_homes_with_many_members_are_sliced(spark):
+    rows = spark.createDataFrame([(1, i, i < 2) for i in range(200)] + [(2, 5, True)], "anchor long, fp long, home boolean")
+    cells = simhash._sliced(rows, 5).where("anchor = 1").groupBy("cell").count().collect()
+    assert len(cells) == 5 and max(r["count"] for r in cells) < 80
+    check(spark, planted(4, 2, 200, 2), 3)
