@@ -8,16 +8,22 @@ distinct / (sum + distinct), and the next shorter context goes on; bytes that a
 are excluded from its sums. Below order 0 the bytes never seen share the rest equally.
 
 Texts are dealt over blocks. Each block lists the contexts and words that occur in it; their counts are
-summed over the corpus, turned into log probabilities beside all contexts with the same last two bytes,
-and only those that a block lists are sent back to it. So neither texts nor the trie are ever in one
-place, and what moves is the blocks' distinct contexts, not their bytes. Orders 1 and 0 are a table of
-65,536 rows at most, and broadcast.
+summed over the corpus, and only the log probabilities that a block lists are sent back to it. So neither
+texts nor the trie are ever in one place, and what moves is the blocks' distinct contexts, not their bytes.
 
-The base score takes words as they are, by counts with one added.
+The probabilities are made order by order, from 0 up, in tables of (context and byte of that order). A row
+needs the sums over its context, which has 256 rows at most, and the row of the byte in the next shorter
+context; rows are dealt by that context, of which 65,536 rows at most meet. So no key grows with the
+corpus, and Spark's sorts, which can spill, hold what is in hand. Orders 0 and 1 have 65,536 rows at most
+and are broadcast to the next.
+
+The base score takes words as they are, by counts with one added. Words are known by 63 bits of a hash; two
+of a billion different words share one with a probability of one in twenty.
 
 Defined cases: a null or empty text is a line end alone (one token); without training documents every
-byte has probability 1/256 and base scores are zero; repeated rows each count and get the same scores; a
-null doc_id is not held out; an empty table gives an empty result; other columns are not read.
+byte has probability 1/256 and base scores are zero; long texts are read whole, in groups of CHUNK bytes;
+repeated rows each count, come to one block and get the same scores; a null doc_id is not held out; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palaver.llm.common import id_remainder, n_blocks, stored, table
+from palaver.llm.common import drop_stored, id_remainder, n_blocks, stored, table
 from palaver.shipping import ship
 
 ORDER = 5
@@ -40,6 +46,7 @@ CHUNK = 1 << 20
 #: A gram's key is below TOTAL, a word's is negative; the corpus's sums stand at the two keys from TOTAL on.
 TOTAL = 1 << 60
 COUNTS = "key long, block int, n long"
+ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 def word_keys(words: list[bytes]) -> np.ndarray:
@@ -127,66 +134,50 @@ def block_counts(docs: pa.Table) -> pa.Table:
     return pa.table({"key": keys, "block": np.full(len(keys), docs.column("block")[0].as_py(), np.int32), "n": counts})
 
 
-def log_probabilities(key, count, c1, n1, q1, c0, x0, n0, q0) -> np.ndarray:
-    """log10 of the probability of each gram's last byte; rows have all grams of each of their two-byte contexts.
+def log_probabilities(grams_: DataFrame, parts: int) -> DataFrame:
+    """key, value: log10 of the probability of each gram's last byte, from counts c of the grams (key) of order ORDER.
 
-    c1, n1, q1: count of the gram of order 1, sum and number of bytes seen in its context; c0, n0, q0: the
-    same of order 0; x0: the sum at order 0 over the bytes seen in the context of order 1.
+    Row of order k, by key (k bytes of context and the byte): c, its count; n and q, sum and number of bytes
+    seen in the context; e, the log probability that orders below k give the byte when the bytes seen in the
+    context are excluded.
     """
-    total = np.zeros(len(key))
-    open_ = np.ones(len(key), bool)
-    upper = None  # of the order above, for each row: (sum below over the bytes seen there, number of them)
-
-    def step(c, n, q, above_sum, above_q):
-        left_n, left_q = n - above_sum, q - above_q
-        use = open_ & (n > 0) & (left_q > 0)
-        seen = use & (c > 0)
-        total[seen] += np.log10(c[seen] / (left_n + left_q)[seen])
-        open_[seen] = False
-        escape = use & (c == 0)
-        total[escape] += np.log10(left_q[escape] / (left_n + left_q)[escape])
-
-    zero = np.zeros(len(key), np.int64)
-    levels = []
-    for k in range(ORDER, 1, -1):
-        gram = key & ((1 << 8 * (k + 1)) - 1)
-        unique, first, at = np.unique(gram, return_index=True, return_inverse=True)
-        c = np.bincount(at, count, len(unique)).astype(np.int64)
-        context = unique >> 8
-        begin = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1]))) if len(unique) else np.empty(0, np.int64)
-        of = np.cumsum(np.concatenate(([0], (context[1:] != context[:-1]).astype(np.int64)))) if len(unique) else begin
-        levels.append((k, unique, first, at, c, begin, of))
-    for j, (k, unique, first, at, c, begin, of) in enumerate(levels):
-        if not len(unique):
-            return total
-        n, q = np.add.reduceat(c, begin)[of], np.add.reduceat((c > 0).astype(np.int64), begin)[of]
-        above_sum, above_q = upper if upper else (zero, zero)
-        step(c[at], n[at], q[at], above_sum, above_q)
-        if k > 2:
-            lower = levels[j + 1]
-            below = lower[4][lower[3][first]]
-        else:
-            below = c1[first]
-        upper = np.add.reduceat(np.where(c > 0, below, 0), begin)[of][at], q[at]
-    step(c1, n1, q1, *upper)
-    step(c0, n0, q0, x0, q1)
-    total[open_] -= np.log10(np.maximum(256 - q0[open_], 1))
-    return total
-
-
-LOW = ("c1", "n1", "q1", "c0", "x0", "n0", "q0")
-
-
-def probability_rows(batches):
-    """Of a partition that has all rows of its two-byte contexts."""
-    parts = [[b.column(c).to_numpy() for c in ("key", "c", *LOW)] for b in batches]
-    if not parts:
-        return
-    columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
-    value = log_probabilities(*columns)
-    for at in range(0, len(value), 100_000):
-        k, v = columns[0][at : at + 100_000], value[at : at + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(v)], ["key", "value"])
+    counts = {ORDER: grams_.select("key", "c")}
+    for k in range(ORDER - 1, -1, -1):
+        low = counts[k + 1].groupBy(F.col("key").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("key")).agg(F.sum("c").alias("c"))
+        counts[k] = stored(low)
+    made = [counts[k] for k in range(ORDER)]
+    every = Window.partitionBy(F.lit(0))  # 256 rows at most
+    seen = (F.col("c") > 0).cast("long")
+    now = counts[0].withColumns({"n": F.sum("c").over(every), "q": F.sum(seen).over(every)})
+    now = now.withColumn("e", -F.log10(F.greatest(F.lit(256) - F.col("q"), F.lit(1))))
+    spark = grams_.sparkSession
+    before = spark.conf.get(ALL_KEYS)
+    spark.conf.set(ALL_KEYS, "false")  # rows dealt by the shorter context serve the join and the window
+    try:
+        for k in range(1, ORDER + 1):
+            tail, middle = F.col("key").bitwiseAND(0xFF), F.shiftright("key", 8).bitwiseAND((1 << 8 * (k - 1)) - 1)
+            rows = counts[k].select("key", "c", middle.alias("middle"), tail.alias("s"), F.shiftright("key", 8 * k).alias("first"))
+            under = now.select(F.shiftright("key", 8).alias("middle"), F.col("key").bitwiseAND(0xFF).alias("s"), *[F.col(x).alias(f"{x}2") for x in "cnqe"])
+            if k > 2:
+                both = rows.repartition(parts, "middle").join(under, ["middle", "s"])
+            else:
+                both = rows.join(F.broadcast(under), ["middle", "s"])
+            own = Window.partitionBy("middle", "first")
+            sums = {"n": F.sum("c").over(own), "q": F.sum(seen).over(own), "x": F.sum(F.when(F.col("c") > 0, F.col("c2")).otherwise(0)).over(own)}
+            left_n, left_q = F.col("n2") - F.col("x"), F.col("q2") - F.col("q")
+            there = F.when(F.col("c2") > 0, F.log10(F.col("c2") / (left_n + left_q))).otherwise(F.log10(left_q / (left_n + left_q)) + F.col("e2"))
+            now = both.withColumns(sums).select("key", "c", "n", "q", F.when((F.col("n2") > 0) & (left_q > 0), there).otherwise(F.col("e2")).alias("e"))
+            if k < ORDER:
+                now = stored(now)
+                made.append(now)
+        found = F.when(F.col("c") > 0, F.log10(F.col("c") / (F.col("n") + F.col("q"))))
+        found = found.when(F.col("n") > 0, F.log10(F.col("q") / (F.col("n") + F.col("q"))) + F.col("e")).otherwise(F.col("e"))
+        values = stored(now.select("key", found.alias("value")))
+    finally:
+        spark.conf.set(ALL_KEYS, before)
+    for df in made:
+        drop_stored(df)
+    return values
 
 
 def block_scores(keep: list[str]):
@@ -236,22 +227,14 @@ def scores(df: DataFrame, mod: int = 7, held: int = 2, keep: tuple[str, ...] = (
     sums = stored(counts.groupBy("key").agg(F.sum("n").alias("c")))
 
     gram = sums.where((F.col("key") >= 0) & (F.col("key") < TOTAL))
-    pairs = gram.groupBy(F.col("key").bitwiseAND(0xFFFF).alias("pair")).agg(F.sum("c").alias("c1"))
-    symbol, context = F.col("pair").bitwiseAND(0xFF), F.shiftright("pair", 8)
-    singles = pairs.groupBy(symbol.alias("s")).agg(F.sum("c1").alias("c0"))  # 256 rows at most
-    every = Window.partitionBy(F.lit(0))
-    singles = singles.withColumns({"n0": F.sum("c0").over(every), "q0": F.sum((F.col("c0") > 0).cast("long")).over(every)})
-    one = Window.partitionBy(context)
-    low = pairs.join(F.broadcast(singles), symbol == F.col("s")).withColumns({
-        "n1": F.sum("c1").over(one), "q1": F.sum((F.col("c1") > 0).cast("long")).over(one), "x0": F.sum(F.when(F.col("c1") > 0, F.col("c0")).otherwise(0)).over(one),
-    }).select("pair", *LOW)
-    wide = gram.withColumn("pair", F.col("key").bitwiseAND(0xFFFF)).join(F.broadcast(low), "pair").withColumn("suffix", F.shiftright("key", 8).bitwiseAND(0xFFFF))
-    probabilities = wide.select("key", "c", *LOW, "suffix").repartition("suffix").mapInArrow(probability_rows, "key long, value double")
+    probabilities = log_probabilities(gram, deal)
 
     word = sums.where((F.col("key") < 0) & (F.col("c") > 0))
     totals = word.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"))
     total = totals.select(F.explode(F.array(*[F.struct(F.lit(TOTAL + i).alias("key"), F.col(c).cast("double").alias("value")) for i, c in enumerate(("n", "v"))])).alias("t")).select("t.*")
-    values = stored(probabilities.unionByName(word.select("key", F.col("c").cast("double").alias("value"))).unionByName(total))
+    words = stored(word.select("key", F.col("c").cast("double").alias("value")).unionByName(total))
+    drop_stored(sums)
+    values = probabilities.unionByName(words)
     model = counts.select("key", "block").join(values, "key").select("block", "key", "value")
 
     kept = [f"__keep_{i}" for i in range(len(keep))]

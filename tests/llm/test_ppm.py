@@ -72,3 +72,33 @@ def test_cases(spark, documents):
     assert sorted(round(r.score / math.log10(1 / 256), 6) for r in rows) == [2, 3]
     twice = ppm.scores(documents(["a b", "a b", "a b"], ids=[1, 1, None])).collect()
     assert len(twice) == 3 and len({r.score for r in twice}) == 1
+
+
+def test_long_texts_and_held_out_only_contexts(spark, documents, monkeypatch):
+    monkeypatch.setattr(ppm, "CHUNK", 200)
+    texts = ["ab cd " * 300 + f"tail{i}" for i in range(12)] + ["xyzzy " * 50 + str(i) for i in range(8)]
+    want = brute(texts)
+    got = {r.doc_id: r for r in ppm.scores(documents(texts)).collect()}
+    assert {w[0] for w in want} == {True, False}
+    assert all(math.isclose(got[i].score, w[-1], rel_tol=1e-9) and got[i].n_tokens == w[1] for i, w in enumerate(want))
+
+
+def test_rows_are_dealt_once_for_join_and_window(spark):
+    """The last order's plan has one exchange on each side of its join and none for the window."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    plans, real = [], ppm.stored
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df)
+
+    try:
+        ppm.stored = spy
+        grams = spark.range(2000).selectExpr("id * 1099511 % 281474976710656 as key", "id % 5 as c")
+        ppm.log_probabilities(grams, 4)
+    finally:
+        ppm.stored = real
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    last = plans[-1]
+    assert "SinglePartition" not in last and last.count("Exchange hashpartitioning") == (2 if "SortMergeJoin" in last else 1)
