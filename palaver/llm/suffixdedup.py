@@ -6,24 +6,29 @@ array is sparse: a window is represented by the suffix that starts at its anchor
 nothing is lost, and an anchor serves the dozens of windows around it. Steps, all over blocks of
 documents dealt by a hash of their key:
 
-1. Anchor hashes that occur twice or more in the corpus are found; other windows cannot repeat.
+1. Anchor hashes that occur twice or more in the corpus are found; other windows cannot repeat. A sample of
+   them brings the first bytes of its suffixes, which part the order of suffixes into ranges.
 2. Each block sorts the suffixes at such anchors (100 bytes to the right, up to 60 to the left kept
    beside them) into a run, removes what repeats within the block, and so passes on each window once
    at most: a passage in a third of all documents is one entry per block.
-3. Runs are front-coded (length of the prefix shared with the entry before, then the rest) and
-   exchanged, dealt by anchor hash. A loser tree merges the runs; it carries for each run the length of
-   the prefix shared with the last winner, and compares bytes beyond equal lengths only. The merged
-   order comes with its own shared-prefix lengths; these, with the same lengths over the left contexts,
-   tell which windows are equal, and all but the earliest are removed.
+3. Runs are front-coded (length of the prefix shared with the entry before, then the rest), cut at range
+   borders and exchanged. A loser tree merges FAN runs of neighbouring blocks over one range; it carries for
+   each run the length of the prefix shared with the last winner, as the front coding brought it, and
+   compares bytes beyond equal lengths only. The merged order comes with its own shared-prefix lengths;
+   these, with the same lengths over the left contexts, tell which windows are equal, and all but the
+   earliest are removed. What is left is a longer run; it is cut at finer borders and merged with its
+   neighbours again, until one run is left of each range: as many levels as FAN makes of the blocks' number.
+   So a level moves FAN runs for each block, however many blocks there are.
 4. Removed windows go back to their block, where they are united and cut from the text.
 
-The texts are shuffled once; the steps read the same exchange. Whole copies of an earlier text are set
+The texts are shuffled once for step 1 and once for the others. Whole copies of an earlier text are set
 aside first, by digest: all their bytes occurred before.
 
-Defined cases: a null text is empty; texts shorter than `length` lose nothing by copies; a document is
-its id and text together, so rows that repeat both are one document and each gets the same result;
-documents that share an id are ordered by digest; a null id comes before all others; an empty table
-gives an empty result; any other columns are passed on untouched if named in `keep`.
+Defined cases: a null text is empty; texts shorter than `length` lose nothing by copies; long texts are read
+whole, in chunks; a document is its id (which must be a whole number) and text together, so rows that repeat
+both are one document and each gets the same result; documents that share an id are ordered by digest; a
+null id comes before all others; an empty table gives an empty result; any other columns are passed on
+untouched if named in `keep`.
 """
 
 from __future__ import annotations
@@ -32,11 +37,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palaver.llm.common import n_blocks, table
+from palaver.llm.common import n_blocks, stored, table
 from palaver.shipping import ship
 
 LENGTH = 100
@@ -49,6 +54,9 @@ BLOCK_BYTES = 12 << 20
 CHUNK_BITS = 18
 COPY, ANCHOR, CUT = 0, 1, 2
 SIDE = "block int, kind int, a long, b long, c long, d long"
+RUNS = "part long, kind int, run binary"
+#: Runs that are merged at a time, blocks whose entries make one range in the end, and sampled suffixes for each range.
+FAN, RANGE_BLOCKS, SAMPLED = 64, 8, 8
 C1, C2, C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
 
@@ -129,30 +137,50 @@ class Block:
                 yield i, place + a, first + a, last + a, h[place]
 
 
-def emit_anchors(left: pa.Table, right: pa.Table) -> pa.Table:
-    block = Block(left, right)
-    hashes = [h for *_, h in block.found()]
-    key, n = np.unique(np.concatenate(hashes), return_counts=True) if hashes else (np.empty(0, np.uint64), np.empty(0, np.int64))
-    number = left.column("block")[0].as_py() if left.num_rows else 0
-    return pa.table({"key": key.view(np.int64), "block": np.full(len(key), number, np.int32), "n": np.minimum(n, 2).astype(np.int32)})
-
-
-def repeated_anchors(batches):
-    """Of a partition that has all rows of its keys: those whose counts come to two or more, as side rows."""
-    parts = [[b.column(c).to_numpy() for c in ("key", "block", "n")] for b in batches]
-    if not parts:
-        return
-    key, block, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(key)
-    key, block, n = key[order], block[order], n[order]
-    first = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.empty(0, bool)
-    starts = np.flatnonzero(first)
-    many = np.repeat(np.add.reduceat(n, starts) > 1, np.diff(np.concatenate((starts, [len(key)])))) if len(key) else np.empty(0, bool)
-    key, block = key[many], block[many]
-    zero = np.zeros(len(key), np.int64)
-    for at in range(0, len(key), 100_000):
-        z = zero[at : at + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (block[at : at + 100_000], np.full(len(z), ANCHOR, np.int32), key[at : at + 100_000], z, z, z)], ["block", "kind", "a", "b", "c", "d"])
+def emit_anchors(rate: int):
+    """Step 1: anchor hashes of the block with their counts (2 at most), and the gram of one in `rate` of them."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        block = Block(left, right)
+        hashes, places = [], []
+        for i, place, _, _, h in block.found():
+            hashes.append(h)
+            places.append(place + block.start[i])
+        none = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        key, at, n = np.unique(np.concatenate(hashes), return_index=True, return_counts=True) if hashes else none
+        grams = np.full(len(key), None, object)
+        place = np.concatenate(places) if places else none[1]
+        for k in np.flatnonzero(key % np.uint64(rate) == 0):
+            begin = place[at[k]]
+            grams[k] = block.data[begin : begin + GRAM].tobytes()
+        number = left.column("block")[0].as_py() if left.num_rows else 0
+        return pa.table({"key": key.view(np.int64), "block": np.full(len(key), number, np.int32), "n": np.minimum(n, 2).astype(np.int32), "gram": pa.array(grams, pa.binary())})
+
+    return run
+
+
+class Ranges:
+    """Where entries go: ranges of suffixes, and the groups of blocks and ranges that meet at each level."""
+
+    def __init__(self, grams: list[bytes], blocks: int, fan: int):
+        self.levels, self.fan = 1, fan
+        while fan**self.levels < blocks:
+            self.levels += 1
+        self.borders = np.array(sorted(set(grams)), f"S{GRAM}")
+        self.n = len(self.borders) + 1
+
+    def of(self, suffix: np.ndarray) -> np.ndarray:
+        """Number of each suffix's range; suffixes are rows of bytes."""
+        grams = np.ascontiguousarray(suffix[:, :GRAM]).view(f"S{GRAM}").ravel()
+        return np.searchsorted(self.borders, grams, side="right")
+
+    def part(self, level: int, first: int, ranges: np.ndarray) -> np.ndarray:
+        """The group at a level; first: number of the group of fan**level blocks."""
+        each = self.fan**level
+        return first * each + ranges * min(self.n, each) // self.n
+
+    def first(self, level: int, part: int) -> int:
+        return part // self.fan**level
 
 
 def shared(rows: np.ndarray) -> np.ndarray:
@@ -188,75 +216,99 @@ def repeats(lcp: np.ndarray, left: np.ndarray, masks: np.ndarray, rank: np.ndarr
     return out
 
 
-def emit_runs(parts: int):
+def cut_up(ranges: Ranges, level: int, first: int, entries) -> list[tuple[int, int, bytes]]:
+    """Rows (part, kind, run) of entries in order, one for each group of the level that they go to.
+
+    entries: shared-prefix lengths, suffixes, their lengths, left contexts, ids, ties, places, masks.
+    """
+    if not len(entries[0]):
+        return []
+    target = ranges.part(level, first, ranges.of(entries[1]))
+    edges = np.flatnonzero(np.concatenate(([True], target[1:] != target[:-1], [True])))
+    return [(int(target[a]), ANCHOR, front_code(*(x[a:b] for x in entries))) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def as_runs(rows: list[tuple[int, int, bytes]]) -> pa.Table:
+    part, kind, run = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.table({"part": pa.array(part, pa.int64()), "kind": pa.array(kind, pa.int32()), "run": pa.array(run, pa.binary())})
+
+
+def packed_cuts(ids, ties, place, cut) -> bytes:
+    return b"".join(x.tobytes() for x in (ids, ties, place, cut))
+
+
+def emit_runs(sent):
     """Step 2: one row per target with the block's front-coded run, and one with what repeats inside the block."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        block = Block(left, right)
+        block, ranges = Block(left, right), sent.value
         known = np.sort(block.side[ANCHOR][0]).view(np.int64)
-        fields: list[list[np.ndarray]] = [[] for _ in range(5)]
+        fields: list[list[np.ndarray]] = [[] for _ in range(4)]
         if len(known):
             for i, place, first, last, h in block.found():
                 h = h.view(np.int64)
                 at = np.minimum(np.searchsorted(known, h), len(known) - 1)
                 use = known[at] == h
                 if use.any():
-                    for f, x in zip(fields, (np.full(use.sum(), i), place[use], place[use] - last[use], place[use] - first[use], h[use]), strict=True):
+                    for f, x in zip(fields, (np.full(use.sum(), i), place[use], place[use] - last[use], place[use] - first[use]), strict=True):
                         f.append(x)
-        number = left.column("block")[0].as_py() if left.num_rows else 0
-        out: list[tuple[int, int, int, bytes]] = []
-        if fields[0]:
-            row, place, low, high, key = (np.concatenate(f) for f in fields)
-            right_len = LENGTH - low
-            base = block.start[row] + place
-            cols = np.arange(LENGTH)
-            size = len(block.data) - 1
-            suffix = block.data[np.minimum(base[:, None] + cols, size)]
-            suffix[cols >= right_len[:, None]] = 0
-            cols = np.arange(LEFT)
-            context = block.data[np.maximum(base[:, None] - 1 - cols, 0)]
-            context[cols >= high[:, None]] = 0
-            masks = ((np.uint64(2) << high.astype(np.uint64)) - np.uint64(1)) & ~((np.uint64(1) << low.astype(np.uint64)) - np.uint64(1))
-            ids, ties = block.ids[row], block.ties[row]
-            order = np.argsort(suffix.view(f"S{LENGTH}").ravel(), kind="stable")
-            row, place, key, suffix, context, masks, ids, ties, right_len = (x[order] for x in (row, place, key, suffix, context, masks, ids, ties, right_len))
-            rank = np.empty(len(row), np.int64)
-            rank[np.lexsort((place, ties, ids))] = np.arange(len(row))
-            cut = repeats(shared(suffix), context, masks, rank)
-            some = cut != 0
-            if some.any():
-                out.append((number % parts, number, CUT, b"".join(x[some].astype(np.int64 if x is not cut else np.uint64).tobytes() for x in (ids, ties, place, cut))))
-            masks &= ~cut
-            rest = np.flatnonzero(masks)
-            target = (key[rest].view(np.uint64) % np.uint64(parts)).astype(np.int64)
-            by = np.argsort(target, kind="stable")
-            rest, target = rest[by], target[by]
-            edges = np.flatnonzero(np.concatenate(([True], target[1:] != target[:-1], [True]))) if len(rest) else []
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                pick = rest[a:b]
-                out.append((int(target[a]), number, ANCHOR, front_code(suffix[pick], right_len[pick], context[pick], ids[pick], ties[pick], place[pick], masks[pick])))
-        return pa.table({"part": pa.array([o[0] for o in out], pa.int32()), "block": pa.array([o[1] for o in out], pa.int32()), "kind": pa.array([o[2] for o in out], pa.int32()), "run": pa.array([o[3] for o in out], pa.binary())})
+        if not fields[0]:
+            return as_runs([])
+        number = left.column("block")[0].as_py() // ranges.fan
+        row, place, low, high = (np.concatenate(f) for f in fields)
+        right_len = LENGTH - low
+        base = block.start[row] + place
+        cols = np.arange(LENGTH)
+        size = len(block.data) - 1
+        suffix = block.data[np.minimum(base[:, None] + cols, size)]
+        suffix[cols >= right_len[:, None]] = 0
+        cols = np.arange(LEFT)
+        context = block.data[np.maximum(base[:, None] - 1 - cols, 0)]
+        context[cols >= high[:, None]] = 0
+        masks = ((np.uint64(2) << high.astype(np.uint64)) - np.uint64(1)) & ~((np.uint64(1) << low.astype(np.uint64)) - np.uint64(1))
+        ids, ties = block.ids[row], block.ties[row]
+        order = np.argsort(suffix.view(f"S{LENGTH}").ravel(), kind="stable")
+        place, suffix, context, masks, ids, ties, right_len = (x[order] for x in (place, suffix, context, masks, ids, ties, right_len))
+        rank = np.empty(len(row), np.int64)
+        rank[np.lexsort((place, ties, ids))] = np.arange(len(row))
+        lcp = shared(suffix)
+        cut = repeats(lcp, context, masks, rank)
+        some = cut != 0
+        out = [(int(ranges.part(1, number, np.zeros(1, np.int64))[0]), CUT, packed_cuts(ids[some], ties[some], place[some], cut[some]))] if some.any() else []
+        masks &= ~cut
+        rest = np.flatnonzero(masks)
+        return as_runs(out + cut_up(ranges, 1, number, (fewer(lcp, rest), *(x[rest] for x in (suffix, right_len, context, ids, ties, place, masks)))))
 
     return run
 
 
-def front_code(suffix, right_len, context, ids, ties, place, masks) -> bytes:
-    """A sorted run: count; per entry the shared-prefix length, the suffix's length, the same two of the left
-    context, then its document, place and offsets; then the bytes that are not shared."""
+def fewer(lcp: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Shared-prefix lengths of the entries that stay: the least of those passed over since the one before."""
+    if not len(rest):
+        return np.empty(0, np.int64)
+    out = np.minimum.reduceat(lcp, np.concatenate(([0], rest[:-1] + 1)))
+    # A segment ends with the entry itself; what stands behind the last one belongs to none.
+    out[-1] = lcp[rest[-2] + 1 : rest[-1] + 1].min() if len(rest) > 1 else 0
+    out[0] = 0
+    return out
+
+
+def front_code(lcp, suffix, right_len, context, ids, ties, place, masks) -> bytes:
+    """A sorted run: count; per entry the prefix that its padded row shares, the suffix's length, the shared prefix of
+    the left context, then its document, place and offsets; then the bytes that are not shared."""
     n = len(ids)
-    lcp = np.minimum(shared(suffix), right_len).astype(np.uint8)
-    left_len = np.full(n, LEFT, np.uint8)
+    lcp = np.concatenate(([0], lcp[1:])).astype(np.uint8)  # the run's first entry shares nothing
     lcs = shared(context).astype(np.uint8)
     cols = np.arange(LENGTH)
     tail = suffix[(cols >= lcp[:, None]) & (cols < right_len[:, None])]
-    cols = np.arange(LEFT)
-    left_tail = context[(cols >= lcs[:, None]) & (cols < left_len[:, None])]
+    left_tail = context[np.arange(LEFT) >= lcs[:, None]]
     head = np.array([n], np.int64).tobytes()
     return b"".join((head, lcp.tobytes(), right_len.astype(np.uint8).tobytes(), lcs.tobytes(), ids.tobytes(), ties.tobytes(), place.tobytes(), masks.tobytes(), tail.tobytes(), left_tail.tobytes()))
 
 
 def read_run(data: bytes):
-    """What `front_code` wrote: shared-prefix lengths, suffixes, left contexts (rows of bytes), ids, ties, places, masks."""
+    """What `front_code` wrote: shared-prefix lengths, suffixes (rows of bytes), their lengths, left contexts, ids, ties,
+    places, masks."""
     n = int(np.frombuffer(data, np.int64, 1)[0])
     at = 8
     got = []
@@ -276,7 +328,7 @@ def read_run(data: bytes):
         grid = grid[source, cols]
         grid[cols >= length[:, None]] = 0
         rows.append(grid)
-    return lcp, rows[0], rows[1], ids, ties, place, masks
+    return lcp.astype(np.int64), rows[0], right_len.astype(np.int64), rows[1], ids, ties, place, masks
 
 
 def merge_runs(runs: list[tuple[list[int], list[bytes]]]) -> tuple[list[int], list[int], list[int]]:
@@ -345,38 +397,51 @@ def merge_runs(runs: list[tuple[list[int], list[bytes]]]) -> tuple[list[int], li
     return out_run, out_at, out_lcp
 
 
-def merged(group: pa.Table) -> pa.Table:
-    """Step 3: merge the runs that came to one target and find the windows that repeat across blocks."""
-    kind, blocks, data = (group.column(c).to_pylist() for c in ("kind", "block", "run"))
-    out = [np.empty((5, 0), np.int64)]
-    runs, fields, owner = [], [], []
-    for k, b, d in sorted(zip(kind, blocks, data, strict=True), key=lambda x: (x[0], x[1])):
-        if k == CUT:
-            part = np.frombuffer(d, np.int64).reshape(4, -1)
-            out.append(np.concatenate([np.full((1, part.shape[1]), b), part]))
-            continue
-        lcp, suffix, context, *rest = read_run(d)
-        flat = suffix.tobytes()
-        # Beyond an entry's own bytes its row is padded, and so its shared length is taken over the row.
-        runs.append((shared(suffix).tolist(), [flat[i * LENGTH : (i + 1) * LENGTH] for i in range(len(lcp))]))
-        fields.append((context, *rest))
-        owner.append(b)
-    if len(runs) > 1:  # a run alone repeats nothing that its block has not seen
-        run, at, lcp = map(np.array, merge_runs(runs))
-        place = np.cumsum([0, *(len(f[1]) for f in fields)])[run] + at
-        context, ids, ties, pos, masks = (np.concatenate([f[i] for f in fields])[place] for i in range(5))
-        near = lcp >= GRAM
-        some = near | np.concatenate((near[1:], [False]))
-        # Entries left out share less than a gram with their neighbours: the prefix shared across them is below GRAM too.
-        step = np.where(near, lcp, 0)[some]
-        run, context, ids, ties, pos, masks = (x[some] for x in (run, context, ids, ties, pos, masks))
-        rank = np.empty(len(run), np.int64)
-        rank[np.lexsort((pos, ties, ids))] = np.arange(len(run))
-        cut = repeats(step, np.ascontiguousarray(context), masks, rank)
-        hit = cut != 0
-        out.append(np.stack([np.array(owner)[run[hit]], ids[hit], ties[hit], pos[hit], cut[hit].view(np.int64)]))
-    block, a, b, c, d = np.concatenate(out, axis=1)
-    return pa.table({"block": block.astype(np.int32), "kind": np.full(len(block), CUT, np.int32), "a": a, "b": b, "c": c, "d": d})
+def merged(sent, level: int):
+    """Step 3: merge the runs that came to one group and find the windows that repeat across blocks.
+
+    Below the last level the rest goes on as runs for the next one, else only what repeats is returned.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        ranges = sent.value
+        part = group.column("part")[0].as_py()
+        first = ranges.first(level, part) // ranges.fan
+        rows = sorted(zip(group.column("kind").to_pylist(), group.column("run").to_pylist(), strict=True))
+        cuts = [d for k, d in rows if k == CUT]
+        read = [read_run(d) for k, d in rows if k == ANCHOR]
+        left = None
+        if len(read) == 1:  # a run alone repeats nothing that its blocks have not seen
+            left = read[0]
+        elif read:
+            strings = []
+            for lcp, suffix, *_ in read:
+                flat = suffix.tobytes()
+                strings.append((lcp.tolist(), [flat[i * LENGTH : (i + 1) * LENGTH] for i in range(len(lcp))]))
+            which, at, lcp = map(np.array, merge_runs(strings))
+            del strings
+            place = np.cumsum([0, *(len(r[0]) for r in read)])[which] + at
+            suffix, right_len, context, ids, ties, pos, masks = (np.concatenate([r[i] for r in read])[place] for i in range(1, 8))
+            near = lcp >= GRAM
+            some = np.flatnonzero(near | np.concatenate((near[1:], [False])))
+            rank = np.empty(len(some), np.int64)
+            rank[np.lexsort((pos[some], ties[some], ids[some]))] = np.arange(len(some))
+            # Entries left out share less than a gram with their neighbours: the prefix shared across them is below GRAM too.
+            cut = np.zeros(len(lcp), np.uint64)
+            cut[some] = repeats(np.where(near, lcp, 0)[some], np.ascontiguousarray(context[some]), masks[some], rank)
+            hit = cut != 0
+            if hit.any():
+                cuts.append(packed_cuts(ids[hit], ties[hit], pos[hit], cut[hit]))
+            masks = masks & ~cut
+            rest = np.flatnonzero(masks)
+            left = (fewer(lcp, rest), *(x[rest] for x in (suffix, right_len, context, ids, ties, pos, masks)))
+        if level < ranges.levels:
+            zero = int(ranges.part(level + 1, first, np.zeros(1, np.int64))[0])
+            return as_runs([(zero, CUT, d) for d in cuts] + (cut_up(ranges, level + 1, first, left) if left else []))
+        a, b, c, d = np.concatenate([np.empty((4, 0), np.int64), *(np.frombuffer(x, np.int64).reshape(4, -1) for x in cuts)], axis=1)
+        return pa.table({"a": a, "b": b, "c": c, "d": d})
+
+    return run
 
 
 def spans(block: Block) -> dict[int, list[tuple[int, int]]]:
@@ -446,10 +511,22 @@ def remove_repeats(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), with_text
     zero = F.lit(0).cast("long")
     copies = names.join(firsts, "__digest").where("__id > first").select(number.alias("block"), F.lit(COPY).alias("kind"), F.col("__id").alias("a"), F.col("__tie").alias("b"), zero.alias("c"), zero.alias("d"))
     meet = lambda side, f, schema: docs.groupBy("block").cogroup(side.groupBy("block")).applyInArrow(f, schema)
-    hashes = meet(copies, emit_anchors, "key long, block int, n int")
-    known = hashes.repartition("key").mapInArrow(repeated_anchors, SIDE)
-    runs = meet(copies.unionByName(known), emit_runs(blocks), "part int, block int, kind int, run binary")
-    cuts = runs.groupBy("part").applyInArrow(merged, SIDE)
+    n_ranges = max(FAN, -(-blocks // RANGE_BLOCKS))
+    rate = max(1, blocks * block_bytes // (GRAM * SAMPLED * n_ranges))
+    hashes = meet(copies, emit_anchors(rate), "key long, block int, n int, gram binary").repartition(deal, "key")
+    twice = F.sum("n").over(Window.partitionBy("key"))
+    known = stored(hashes.withColumn("all", twice).where("all > 1").select("key", "block", "gram"))
+    borders = known.where("gram is not null").groupBy("key").agg(F.min("gram").alias("gram")).select("gram")
+    # Every m-th of the sample in order, a few for each range.
+    grams = sorted(bytes(r[0]) for r in borders.collect())
+    ranges = Ranges(grams[:: max(1, len(grams) // n_ranges)][1:], blocks, FAN)
+    sent = spark.sparkContext.broadcast(ranges)
+    anchors_ = known.select("block", F.lit(ANCHOR).alias("kind"), F.col("key").alias("a"), zero.alias("b"), zero.alias("c"), zero.alias("d"))
+    runs = meet(copies.unionByName(anchors_), emit_runs(sent), RUNS)
+    for level in range(1, ranges.levels):
+        runs = runs.repartition(deal, "part").groupBy("part").applyInArrow(merged(sent, level), RUNS)
+    found = runs.repartition(deal, "part").groupBy("part").applyInArrow(merged(sent, ranges.levels), "a long, b long, c long, d long")
+    cuts = found.select(F.pmod(F.xxhash64("a", "b"), F.lit(blocks)).cast("int").alias("block"), F.lit(CUT).alias("kind"), "a", "b", "c", "d")
     kept = [f"__keep_{i}" for i in range(len(keep))]
     fields = [T.StructField(c, df.schema[k].dataType) for c, k in zip(kept, keep, strict=True)]
     fields += [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [T.StructField("kept_sha256", T.StringType())]

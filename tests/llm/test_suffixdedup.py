@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import numpy as np
+
 from palaver.llm import suffixdedup
 
 
@@ -89,3 +91,50 @@ def test_merge_of_runs():
     out = [given[r][1][i] for r, i in zip(run, at)]
     assert out == sorted(x for r in runs for x in r)
     assert common == [0] + [lcp(a, b) for a, b in zip(out, out[1:])]
+
+
+def test_several_levels_of_merging(spark, documents, monkeypatch):
+    monkeypatch.setattr(suffixdedup, "FAN", 3)
+    texts = made(11, 150)
+    levels = []
+    real = suffixdedup.merged
+    monkeypatch.setattr(suffixdedup, "merged", lambda sent, level: levels.append(level) or real(sent, level))
+    want = compare(documents(texts), list(enumerate(texts)), 2500)
+    assert sum(w[1] > 0 for w in want.values()) > 30 and max(levels) >= 3
+
+
+def test_groups_of_ranges_refine_each_other():
+    ranges = suffixdedup.Ranges([b"a%03d" % i for i in range(200)], 70, 4)
+    every = np.arange(ranges.n)
+    assert ranges.levels == 4
+    for level in range(1, ranges.levels):
+        coarse, fine = ranges.part(level, 0, every), ranges.part(level + 1, 0, every)
+        assert (np.diff(coarse) >= 0).all() and len(set(coarse)) == min(ranges.n, 4**level)
+        assert all(len(set(coarse[fine == f])) == 1 for f in set(fine) if 4**level <= ranges.n)
+        assert {ranges.first(level, int(p)) for p in ranges.part(level, 5, every)} == {5}
+
+
+def test_shared_prefixes_travel_with_the_runs():
+    rng = np.random.default_rng(3)
+    suffix = rng.integers(97, 99, (300, suffixdedup.LENGTH)).astype(np.uint8)
+    suffix[:, : suffixdedup.GRAM] = suffix[rng.integers(0, 5, 300), : suffixdedup.GRAM]
+    length = rng.integers(suffixdedup.GRAM, suffixdedup.LENGTH + 1, 300)
+    suffix[np.arange(suffixdedup.LENGTH) >= length[:, None]] = 0
+    order = np.argsort(suffix.view(f"S{suffixdedup.LENGTH}").ravel(), kind="stable")
+    suffix, length = suffix[order], length[order]
+    context = rng.integers(97, 99, (300, suffixdedup.LEFT)).astype(np.uint8)
+    ids, masks = np.arange(300), np.arange(1, 301).astype(np.uint64)
+    lcp = suffixdedup.shared(suffix)
+    for rest in (np.arange(300), np.flatnonzero(rng.random(300) < 0.3), np.array([7]), np.array([0, 299])):
+        less = suffixdedup.fewer(lcp, rest)
+        assert (less == suffixdedup.shared(suffix[rest])).all()
+        got = suffixdedup.read_run(suffixdedup.front_code(less, *(x[rest] for x in (suffix, length, context, ids, ids, ids, masks))))
+        for a, b in zip(got, (less, suffix[rest], length[rest], context[rest], ids[rest], ids[rest], ids[rest], masks[rest])):
+            assert (a == b).all()
+
+
+def test_one_id_with_several_texts(spark, documents):
+    passage = "the passage that both hold, long enough to be removed from one of them " * 3
+    df = documents(["alpha " + passage, "beta " + passage, "gamma " + passage], ids=[7, 7, 7])
+    removed = sorted(r.n_removed for r in suffixdedup.remove_repeats(df).collect())
+    assert removed[0] < removed[1] == removed[2] and len(removed) == 3
