@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver.functions import text as tx
-from palaver.operators import labeling, relational, sequence
+from palaver.operators import completion, labeling, relational, sequence
 from palaver.plans import merge, pipeline
-from palaver.sources import readers
+from palaver.sources import readers, sinks
 from palaver.spec import GENERIC
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -250,10 +250,10 @@ def id_prefix(spark, sf):
     return utterances(spark, sf).select(tx.prefixed_id(2, F.col("conv_id")).alias("conv_id"), "utter_id")
 
 
-@query("select conv_id, turn from conversations union all select conv_id + (select count(*) from conversations), turn from conversations where turn < 2")
+@query("select conv_id, turn from conversations union all select doc_id + (select count(*) from conversations), n_chars from documents")
 def id_offset(spark, sf):
-    df = table(spark, sf, "conversations").select("conv_id", "turn")
-    return readers.offset_union([df, df.where("turn < 2")], "conv_id")
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("conv_id"), F.col("n_chars").alias("turn"))
+    return readers.offset_union([table(spark, sf, "conversations").select("conv_id", "turn"), docs], "conv_id")
 
 
 @query(f"select conv_id, utter_id, utterance, speaker, null::varchar as doc_id from {U} union all select source, doc_id, text, lang, doc_id::varchar from documents")
@@ -280,11 +280,17 @@ def split_leakage(spark, sf):
     return leaked.groupBy("split").agg(F.count_distinct("conv_id").alias("conversations"), F.count("n_splits").alias("leaked"))
 
 
-@query(f"""with d as (select distinct conv_id from {U} where conv_id::bigint % 3 = 0), n as (select *, dense_rank() over (order by conv_id) as g from {U} where conv_id not in (select conv_id from d))
-select conv_id, utter_id from n where g <= 20""")
+#: Done are conversations with two seeking utterances in a row; a chunk is half of all conversations.
+DONE = f"select distinct conv_id from (select *, lag(empathy_kind) over (partition by conv_id order by utter_id) as b from {U}) where empathy_kind = 1 and b = 1"
+
+
+@query(f"""with d as ({DONE}), n as (select *, dense_rank() over (order by conv_id) as g from {U} where conv_id not in (select conv_id from d))
+select conv_id, utter_id from n where g <= (select (count(distinct conv_id) + 1) // 2 from {U})""")
 def chunk_groups(spark, sf):
     df = utterances(spark, sf)
-    return relational.next_chunk(df, df.where(F.col("conv_id").cast("long") % 3 == 0), "conv_id", 20).select("conv_id", "utter_id")
+    done = sequence.sequences(df).where(F.col("empathy_kind_seq").contains("1, 1"))
+    half = (df.select("conv_id").distinct().count() + 1) // 2
+    return relational.next_chunk(df, done, "conv_id", half).select("conv_id", "utter_id")
 
 
 @query(f"select (select count(*) from {U} where empathy_kind <> 2) as unprocessed, count(*) as total from {U}")
@@ -343,7 +349,7 @@ def final_projection(spark, sf):
 
 
 MERGED = f"""with a as (select '0_' || conv_id as conv_id, utter_id, utterance, speaker, null::varchar as extra, 0 as src from {U}
-union all select '1_' || conv_id, utter_id, utterance, speaker, 'x', 1 from {U} where utter_id < 3),
+union all select '1_' || item_id, length(text), text, 'item', 'x', 1 from benchmark),
 g as (select *, row_number() over (partition by src order by md5('200' || conv_id), conv_id) as r, count(*) over (partition by src) as g from (select distinct src, conv_id from a)),
 t as (select *, round_even(g * 0.8, 0)::bigint as t from g)
 select a.conv_id, utter_id, utterance, speaker, extra, case when r <= t then 'train' when r <= t + round_even((g - t) * 0.5, 0)::bigint then 'test' else 'validation' end as split from a join t using (src, conv_id)"""
@@ -352,7 +358,133 @@ select a.conv_id, utter_id, utterance, speaker, extra, case when r <= t then 'tr
 @query(MERGED)
 def merged_sources(spark, sf):
     df = utterances(spark, sf).select("conv_id", "utter_id", "utterance", "speaker")
-    return merge.merged({"first": df, "second": df.where("utter_id < 3").withColumn("extra", F.lit("x"))})
+    items = table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("conv_id"), F.length("text").cast("long").alias("utter_id"), F.col("text").alias("utterance"), F.lit("item").alias("speaker"), F.lit("x").alias("extra"))
+    return merge.merged({"first": df, "second": items})
+
+
+#: Utterances with quotes and line breaks, as the files' readers must bring them back.
+QUOTED = "select conv_id, turn, text || chr(10) || '\"' || role || '\", end' as said, role from conversations"
+
+
+def quoted(spark, sf):
+    said = F.concat(F.col("text"), F.lit('\n"'), F.col("role"), F.lit('", end'))
+    return table(spark, sf, "conversations").select("conv_id", "turn", said.alias("said"), "role")
+
+
+def csv(df, path):
+    df.write.csv(path, header=True, quote='"', escape='"')
+    return path
+
+
+@query(QUOTED)
+def csv_scan(spark, sf):
+    path = csv(quoted(spark, sf).withColumn("other", F.lit(1)), sinks.scratch(spark))
+    return readers.read_csv(spark, path, "conv_id long, turn long, said string, role string")
+
+
+@query(f"""with q as (select *, case when turn = 0 then 'dev' when turn % 2 = 1 then 'test' else 'train' end as split from ({QUOTED}))
+select conv_id + case split when 'dev' then 0 when 'test' then (select count(*) from q where split = 'dev') else (select count(*) from q where split <> 'train') end as conv_id, turn, said, split from q""")
+def csv_splits(spark, sf):
+    root, df = sinks.scratch(spark), quoted(spark, sf).drop("role")
+    rows = {"dev": F.col("turn") == 0, "test": F.col("turn") % 2 == 1, "train": (F.col("turn") != 0) & (F.col("turn") % 2 == 0)}
+    files = {split: csv(df.where(which), f"{root}/{split}") for split, which in rows.items()}
+    return readers.offset_union(readers.read_splits(spark, files, "conv_id long, turn long, said string"), "conv_id")
+
+
+@query("select conv_id as dialog_idx, turn as utterance_idx, text, role as speaker, 'e' as emotion, 'a' as act from conversations")
+def json_files(spark, sf):
+    """A document for each conversation, in a file of its own, read as the nested form."""
+    path = sinks.scratch(spark)
+    record = F.struct(F.col("conv_id").alias("dialog_idx"), F.col("turn").alias("utterance_idx"), "text", F.col("role").alias("speaker"), F.lit("e").alias("emotion"), F.lit("a").alias("act"))
+    inner = table(spark, sf, "conversations").groupBy("conv_id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("turn").cast("string").alias("k"), record.alias("v")))).alias("m"))
+    text = inner.select("conv_id", F.to_json(F.create_map(F.col("conv_id").cast("string"), F.col("m"))).alias("value"))
+    text.repartition("conv_id").write.partitionBy("conv_id").text(path)
+    return readers.read_dailytalk(spark, path)
+
+
+@query("select conv_id::varchar as conv_id, turn as utter_id, text as utterance, role as speaker, case when turn % 2 = 0 then 'SET/audio_files/' || conv_id || '_' || turn || '.wav' end as file_name from conversations")
+def saved_dataset(spark, sf):
+    """The data set's sink, read back by the merger's scan."""
+    df = utterances(spark, sf).drop("empathy_kind").withColumn("file_name", F.when(F.col("utter_id") % 2 == 0, "x.wav"))
+    root = sinks.scratch(spark)
+    sinks.save_dataset(df, root)
+    got = readers.read_merged(spark, root, "conv_id string, utter_id long, utterance string, speaker string, file_name string")
+    return got.withColumn("file_name", F.replace("file_name", F.lit(root), F.lit("SET")))
+
+
+@query(f"select conv_id, utter_id, utterance, empathy_kind::int as empathy_kind, [speaker, utterance] as pair from {U}")
+def editable_copy(spark, sf):
+    df = utterances(spark, sf).select("conv_id", "utter_id", "utterance", "empathy_kind", F.array("speaker", "utterance").alias("pair"))
+    path = sinks.scratch(spark)
+    sinks.write_editable(df, path)
+    return sinks.read_editable(spark, path, df.schema)
+
+
+#: Rows of conversations with a seeking utterance come anew, with another text.
+UPSERTED = f"""with u as {U}, n as (select conv_id, utter_id, utterance || '!' as utterance from u where conv_id in (select conv_id from u where empathy_kind = 1))
+select conv_id, utter_id, utterance from n union all select conv_id, utter_id, utterance from u where conv_id not in (select conv_id from n)"""
+
+
+def fresh_rows(df):
+    return relational.semi(df, df.where("empathy_kind = 1").select("conv_id").distinct(), "conv_id").withColumn("utterance", F.concat("utterance", F.lit("!")))
+
+
+@query(UPSERTED)
+def stage_upsert(spark, sf):
+    """A stage's table, swapped twice: written, then updated from itself."""
+    df, path = utterances(spark, sf), sinks.scratch(spark)
+    old = sinks.write_swapped(df, path)
+    return sinks.write_swapped(relational.upserted(old, fresh_rows(df), "conv_id"), path).select("conv_id", "utter_id", "utterance")
+
+
+@query(UPSERTED)
+def parted_upsert(spark, sf):
+    df, path = utterances(spark, sf), sinks.scratch(spark)
+    sinks.upsert_parts(df, path, ("conv_id", "utter_id"))
+    sinks.upsert_parts(fresh_rows(df), path, ("conv_id", "utter_id"))
+    return spark.read.parquet(path).select("conv_id", "utter_id", "utterance")
+
+
+@query(f"""with a as (select '0_' || conv_id as conv_id, utter_id, utterance, speaker from {U}),
+t as (select *, row_number() over (order by md5('200' || conv_id), conv_id) as r, count(*) over () as g from (select distinct conv_id from a)), k as (select *, round_even(g * 0.8, 0)::bigint as t from t)
+select conv_id, utter_id, utterance, speaker, null::varchar as file_name, case when r <= t then 'train' when r <= t + round_even((g - t) * 0.5, 0)::bigint then 'test' else 'validation' end as split from a join k using (conv_id)""")
+def merged_sink(spark, sf):
+    df = utterances(spark, sf).drop("empathy_kind").withColumn("file_name", F.lit(None).cast("string"))
+    path = sinks.scratch(spark)
+    merge.save_merged(merge.merged({"only": df}), path)
+    return spark.read.parquet(path).select("conv_id", "utter_id", "utterance", "speaker", "file_name", "split")
+
+
+@query(f"select conv_id, utter_id, empathy_kind::int as empathy_kind, 1.0::double as share from {U}")
+def offline_labels(spark, sf):
+    """Requests, answers, votes and the join back, with the completer that needs no service."""
+    df = utterances(spark, sf).drop("empathy_kind").withColumn("utterance", F.translate("utterance", "\n", " "))
+    answers = sinks.write_swapped(completion.responses(df, completion.OfflineCompleter(), "conv_id", "utter_id", "utterance", "empathy", 10), sinks.scratch(spark))
+    return completion.labelled(df, answers).select("conv_id", "utter_id", "empathy_kind", F.array_max(F.map_values("empathy_percents")).alias("share"))
+
+
+@query(f"select conv_id, utter_id, (count(*) over (partition by conv_id) % 2 = 0)::int as is_complete from {U}")
+def offline_checks(spark, sf):
+    df = utterances(spark, sf)
+    answers = sinks.write_swapped(completion.responses(df, completion.OfflineCompleter("completion"), "conv_id", "utter_id", "utterance", "completion", 5), sinks.scratch(spark))
+    return completion.checked(df, answers, "conv_id").select("conv_id", "utter_id", "is_complete")
+
+
+def _lengths():
+    return lambda texts: [len(t) % 3 for t in texts]
+
+
+def _many():
+    return lambda texts: [float(t.count("<BOU>") > 2) for t in texts]
+
+
+@query(f"select conv_id, utter_id, (length(utterance) % 3)::int as empathy_kind, (count(*) over (partition by conv_id) > 2)::int::float as is_empathy from {U}")
+def classifier_labels(spark, sf):
+    import numpy as np
+
+    after = lambda out: np.array(out)
+    df = utterances(spark, sf).drop("empathy_kind")
+    return completion.classified(df, completion.deployed(_lengths, after=after), completion.deployed(_many, after=after)).select("conv_id", "utter_id", "empathy_kind", "is_empathy")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,10 +1,12 @@
 """Asking language models: a pluggable completer, rounds of requests, and classifiers as batch functions.
 
-Only here does Python run on the executors. The default completer works offline and is deterministic.
+Only here, in `tokenising` and with media does Python run on the executors. The default completer works
+offline and is deterministic; `backends` has those that ask a service.
 """
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -49,36 +51,26 @@ class OfflineCompleter:
         return ["\n".join(f"{i + 1}:\nReason: length {len(x)}\nLabel: {names[len(x) % 3]}" for i, x in enumerate(lines))] * choices
 
 
-@dataclass(frozen=True)
-class HttpCompleter:
-    """POSTs JSON to a completion endpoint; body(prompt, choices) makes it and answers(response) reads it."""
-
-    url: str
-    headers: dict
-    body: Callable
-    answers: Callable
-    chat: bool = True
-
-    def complete(self, prompt, choices: int) -> list[str]:
-        import json
-        import urllib.request
-
-        request = urllib.request.Request(self.url, json.dumps(self.body(prompt, choices)).encode(), {"Content-Type": "application/json", **self.headers})
-        with urllib.request.urlopen(request, timeout=120) as response:
-            return self.answers(json.load(response))
-
-
 def ask(completer: Completer, prompt, choices: int, retries: int = 3, pause: float = 1.0) -> list[str]:
-    """Answers to one prompt; after `retries` failures none."""
+    """Answers to one prompt; the failure of the last of `retries` tries is raised, so that no rows are lost unseen."""
     for attempt in range(retries):
         try:
             return list(completer.complete(prompt, choices))
         except Exception:  # any failure of a service is worth another try
-            if attempt + 1 < retries:
-                time.sleep(pause)
+            if attempt + 1 == retries:
+                raise
+            time.sleep(pause)
     return []
 
 
+def valid_answer(kind: str, n_utter: int) -> Callable[[str], bool]:
+    """What the votes will accept, told by the patterns that they read with."""
+    plain = lambda a: a.replace("\\n", "\n").replace("\\t", "\t")
+    if kind == "empathy":
+        return lambda a: sum(1 for _ in re.finditer(labeling.EMPATHY_PATTERN, plain(a))) == n_utter
+    return lambda a: re.search(labeling.COMPLETION_PATTERN, plain(a).replace("\n", " ")) is not None
+
+
 def rounds(completer: Completer, prompt, valid: Callable[[str], bool], number: int, least: int, pause: float = 0.0) -> list[str]:
     """Valid answers: asks for as many as are missing, until `least` are there or six rounds in a row brought none."""
     got: list[str] = []
@@ -108,9 +100,8 @@ def responses(df: DataFrame, completer: Completer, conv: str, utter: str, text:
             rows = []
             for key, n, prompt in batch.itertuples(index=False):
                 sent = prompt if isinstance(prompt, str) else [dict(m) if isinstance(m, dict) else m.asDict() for m in prompt]
-                count = lambda a: a.count("Label]:") + a.count("Label:")
-                valid = (lambda a, n=n: count(a) == n) if kind == "empathy" else (lambda a: "inal answer is" in a)
-                rows += [(key, n, i, a) for i, a in enumerate(rounds(completer, sent, valid, number, least))]
+                found = rounds(completer, sent, valid_answer(kind, n), number, least, getattr(completer, "pause", 0.0))
+                rows += [(key, n, i, a) for i, a in enumerate(found)]
             yield pd.DataFrame(rows, columns=["conv", "n_utter", "number", "response"])
 
     schema = f"{conv} {df.schema[conv].dataType.simpleString()}, n_utter int, number int, response string"
@@ -134,10 +125,31 @@ def checked(df: DataFrame, answers: DataFrame, conv: str = "new_conv_id", strict
     return df.join(found.select(conv, F.col("label").cast("int").alias("is_complete"), F.col("reasons").alias("complete_check_reasons"), shares.alias("complete_check_percent")), conv, "left")
 
 
+def deployed(load: Callable[[], Callable], before: tuple[Callable, ...] = (), after: Callable | None = None) -> Callable[[], Callable]:
+    """A model behind a chain: each function of `before` maps the batch on, `after` the model's output.
+
+    The result loads everything once on the executor and is what `classified` and `predict_batch_udf` take.
+    """
+
+    def make():
+        model = load()
+
+        def predict(batch):
+            for step in before:
+                batch = step(batch)
+            out = model(batch)
+            return after(out) if after else out
+
+        return predict
+
+    return make
+
+
 def classified(df: DataFrame, kind_model: Callable[[], Callable], exist_model: Callable[[], Callable], conv: str = "conv_id", utter: str = "utter_id", text: str = "utterance") -> DataFrame:
     """df with empathy_kind (per utterance) and is_empathy (per conversation) by classifiers.
 
-    Each model is a function that loads one on the executor and returns texts -> numbers.
+    Each model is a function that loads one on the executor and returns texts -> numbers; `deployed` makes
+    one of a model with steps before it, such as `tokenising.batch`, and after it.
     """
     from pyspark.ml.functions import predict_batch_udf
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 NOBODY = "\0nobody"
+#: Leading hexadecimal digits of a hash that deal groups over buckets when they are ranked.
+BUCKET_DIGITS = 4
 
 
 def grouped(df: DataFrame, *keys: str) -> DataFrame:
@@ -132,15 +134,25 @@ def group_split(df: DataFrame, conv: str, by: Sequence[str] = (), seed: int = 20
     """Each group's split: round(train * G) groups train, round(test * rest) test, the rest validation.
 
     Groups are ranked by a hash of seed and id within `by`; sizes are exact (half to even), the same ids
-    always fall alike, and a conversation is never parted. The rank's window has one row per group.
+    always fall alike, and a conversation is never parted. A rank is the place in a bucket of hashes and the
+    number of groups in the buckets before it, so the only window without a key is over the buckets' counts.
     """
     groups = grouped(df.select(*by, conv), conv).distinct()
-    rank = Window.partitionBy(*by).orderBy(F.md5(F.concat(F.lit(str(seed)), F.col(conv).cast("string"))), conv)
-    placed = groups.withColumns({"__r": F.row_number().over(rank), "__g": F.count("*").over(Window.partitionBy(*by))})
+    groups = groups.withColumn("__h", F.md5(F.concat(F.lit(str(seed)), F.col(conv).cast("string")))).withColumn("__b", F.substring("__h", 1, BUCKET_DIGITS))
+    keys = [*by, "__b"]
+    own = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # 16 ** BUCKET_DIGITS rows at most
+    counts = groups.groupBy(*keys).agg(F.count("*").alias("__n"))
+    counts = counts.withColumns({"__before": F.sum("__n").over(own.orderBy("__b")) - F.col("__n"), "__g": F.sum("__n").over(own)}).drop("__n")
+    counts = counts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__before", "__g")
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("__h", conv))
+    placed = groups.withColumn("__i", rank).join(counts, same).withColumn("__r", F.col("__before") + F.col("__i"))
     placed = placed.withColumn("__t", F.bround(F.col("__g") * F.lit(train)).cast("long"))
     placed = placed.withColumn("__e", F.bround((F.col("__g") - F.col("__t")) * F.lit(test)).cast("long"))
     split = F.when(F.col("__r") <= F.col("__t"), "train").when(F.col("__r") <= F.col("__t") + F.col("__e"), "test").otherwise("validation")
-    return df.join(placed.select(*by, conv, split.alias(name)), [*by, conv])
+    placed = placed.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate([*by, conv])], split.alias(name))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate([*by, conv])))
+    return df.join(placed, same).drop(*[f"__k{i}" for i in range(len(by) + 1)])
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -5,17 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.operators.relational import grouped, joined, numbered_rows
+from palaver.operators.relational import grouped, joined, numbered_rows, semi
 from palaver.spec import PROVIDING, SEEKING
 
 
 def label_sequence(df: DataFrame, conv: str = "conv_id", utter: str = "utter_id", kind: str = "empathy_kind") -> DataFrame:
     """Beside each row its conversation's labels, joined in order, and whether seeking is answered at once."""
-    w = Window.partitionBy(conv)
-    pairs = F.collect_list(F.struct(F.col(utter).alias("o"), F.col(kind).cast("int").cast("string").alias("v"))).over(w)
-    seq = F.array_join(F.transform(F.array_sort(pairs), lambda x: x["v"]), ", ")
-    out = grouped(df, conv).withColumn("empathy_kind_seq", seq)
-    return out.withColumn("contain_empathy_seq", F.col("empathy_kind_seq").contains(f"{SEEKING}, {PROVIDING}").cast("int"))
+    return df.join(sequences(df, conv, utter, kind), conv)
 
 
 def sequences(df: DataFrame, conv: str = "conv_id", utter: str = "utter_id", kind: str = "empathy_kind") -> DataFrame:
@@ -28,10 +24,12 @@ def empathetic(df: DataFrame, based_on: str = "contain_empathy", **names: str) -
     """Conversations that the flag of the sequence, of the classifier (is_empathy) or both keep."""
     if based_on not in ("both", "contain_empathy", "is_empathy"):
         raise ValueError(f"unknown rule {based_on!r}")
-    if based_on != "is_empathy" and "contain_empathy_seq" not in df.columns:
-        df = label_sequence(df, **names)
-    seq, own = F.col("contain_empathy_seq") == 1, F.col("is_empathy") == 1 if based_on != "contain_empathy" else None
-    return df.where(seq if based_on == "contain_empathy" else own if based_on == "is_empathy" else seq & own)
+    kept = df if based_on == "contain_empathy" else df.where(F.col("is_empathy") == 1)
+    if based_on == "is_empathy":
+        return kept
+    if "contain_empathy_seq" in df.columns:
+        return kept.where(F.col("contain_empathy_seq") == 1)
+    return semi(kept, sequences(df, **names).where(F.col("contain_empathy_seq") == 1), names.get("conv", "conv_id"))
 
 
 def segment_numbers(df: DataFrame, conv: str = "conv_id", utter: str = "utter_id", kind: str = "empathy_kind", name: str = "segment") -> DataFrame:

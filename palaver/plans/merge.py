@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from palaver.functions.text import media_name, prefixed_id
 from palaver.operators.relational import group_split, union_all
-from palaver.sources.sinks import save_splits, without_index
+from palaver.sources.sinks import copy_files, save_splits, without_index
 from palaver.spec import SOURCES
 
 
@@ -26,10 +26,13 @@ def merged(frames: dict[str, DataFrame], seed: int = 200) -> DataFrame:
     return union_all(parts)
 
 
-def save_merged(df: DataFrame, folder: str) -> DataFrame:
-    """Writes one folder per split; file names are <split>/audio/<conv>_<utter>.wav below it."""
+def save_merged(df: DataFrame, folder: str, files: bool = False) -> DataFrame:
+    """Writes one folder per split; file names are <split>/audio/<conv>_<utter>.wav below it, on request with the files."""
     place = F.concat(F.lit(f"{folder}/"), F.col("split"), F.lit("/audio/"), media_name(F.col("conv_id"), F.col("utter_id")))
-    out = df.withColumn("file_name", F.when(F.col("file_name").isNotNull(), place))
+    out = df.withColumn("__to", F.when(F.col("file_name").isNotNull(), place))
+    if files:
+        copy_files(out, "file_name", "__to")
+    out = out.withColumn("file_name", F.col("__to")).drop("__to")
     save_splits(out, folder)
     return out
 

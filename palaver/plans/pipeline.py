@@ -39,8 +39,9 @@ def final_columns(df: DataFrame, extras: tuple[str, ...]) -> DataFrame:
 class Pipeline:
     """Runs a corpus's stages. scan reads the cleaned rows; media, if given, turns paths into audio paths.
 
-    root holds <corpus>/<stage>, one Parquet table each; <corpus>/<stage>.edit is the CSV copy of stages
-    that people may edit, and an edited copy in <stage>.edited is taken before the table.
+    root holds <corpus>/<stage>, one Parquet table each. On request (editable) <corpus>/<stage>.edit is the
+    CSV copy of stages that people may edit; an edited copy in <stage>.edited is taken before the table.
+    With chunks a stage adds each chunk's files to its table and leaves the others alone.
     """
 
     spark: SparkSession
@@ -53,13 +54,14 @@ class Pipeline:
     based_on: str = "contain_empathy"
     strict: bool = True
     classifiers: tuple[Callable, Callable] | None = None
+    editable: bool = False
 
     def path(self, stage: str) -> str:
         return f"{self.root}/{self.spec.name}/{stage}"
 
     def stored(self, stage: str, ending: str = "") -> bool:
-        fs, where = sinks.filesystem(self.spark, f"{self.path(stage)}{ending}/_SUCCESS")
-        return fs.exists(where)
+        sinks.settled(self.spark, self.path(stage), f"{self.path(stage)}.old")
+        return sinks.exists(self.spark, f"{self.path(stage)}{ending}/_SUCCESS")
 
     def load(self, stage: str) -> DataFrame:
         kept = self.spark.read.parquet(self.path(stage))
@@ -119,10 +121,9 @@ class Pipeline:
                 done = old.withColumnRenamed("conv_id", key) if old is not None and stage == "final" else old
                 df = relational.next_chunk(df, done, key, chunk)
             out = self.apply(stage, df)
-            if old is not None:
-                out = relational.upserted(old, out, *(("conv_id", "utter_id") if stage not in ("check", "complete") else ("new_conv_id", "new_utter_idx")))
-            df = sinks.write_swapped(out, self.path(stage))
-            if stage in EDITABLE:
+            # A chunk holds groups that the table has no row of.
+            df = sinks.write_swapped(out, self.path(stage)) if old is None else sinks.append(out, self.path(stage))
+            if self.editable and stage in EDITABLE:
                 sinks.write_editable(df, f"{self.path(stage)}.edit")
             LOG.info("wrote %s", self.path(stage))
             df = self.load(stage)

@@ -102,5 +102,10 @@ def meld_file(split: Column, conv: Column, utter: Column) -> Column:
     return F.concat(folder, F.lit("/dia"), conv.cast("string"), F.lit("_utt"), utter.cast("string"), F.lit(".mp4"))
 
 
-def read_merged(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+def header_schema(spark: SparkSession, path: str) -> StructType:
+    """Every column of a CSV file with a header, as text."""
+    return StructType([f for f in spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"').schema if f.name and "Unnamed" not in f.name])
+
+
+def read_merged(spark: SparkSession, folder: str, schema: str | StructType) -> DataFrame:
     return read_csv(spark, f"{folder}/metadata.csv", schema)

@@ -1,6 +1,8 @@
 import re
 
-from palaver.operators import completion, labeling
+import pytest
+from palaver.functions.text import unescape
+from palaver.operators import backends, completion, labeling, tokenising
 from pyspark.sql import functions as F
 
 ANSWERS = [
@@ -80,8 +82,77 @@ class Broken:
         raise OSError("down")
 
 
-def test_failures_are_bounded():
-    assert completion.ask(Broken(), "p", 3, pause=0) == []
+def test_failures_are_bounded_and_seen():
+    with pytest.raises(OSError):
+        completion.ask(Broken(), "p", 3, pause=0)
+
+    class Once(Broken):
+        def __init__(self):
+            self.n = 0
+
+        def complete(self, prompt, choices):
+            self.n += 1
+            return super().complete(prompt, choices) if self.n == 1 else ["x"] * choices
+
+    assert completion.ask(Once(), "p", 2, pause=0) == ["x", "x"]
+
+
+def test_answers_are_accepted_as_the_votes_read_them(spark):
+    answers = [
+        "1:\nReason: a\nLabel: none\n2:\nReason: b\nLabel: Empathy_seeker", "1:\\nReason: a\\nLabel: none\\n2:\\nReason: b\\nLabel: none",
+        "Label: none Label: none", "1:\nReason: a\nLabel: none", "1:\nLabel: none\nReason: a\n2:\nLabel: none\nReason: b", "",
+    ]
+    valid = completion.valid_answer("empathy", 2)
+    rows = [("c", i, 2, a) for i, a in enumerate(answers)]
+    df = spark.createDataFrame(rows, "conv string, number int, n int, response string").withColumn("response", unescape(F.col("response")))
+    sizes = [r.s for r in df.select("number", F.size(labeling.parsed_labels(F.col("response"))).alias("s")).orderBy("number").collect()]
+    assert [valid(a) for a in answers] == [s == 2 for s in sizes] and sum(map(valid, answers)) == 3
+    done = completion.valid_answer("completion", 2)
+    texts = ["Reason: x.\nThe final answer is: complete", "The final answer is: complete", "final answer is Reason: x", "Reason: y the final answer is Incomplete"]
+    got = [r.x is not None for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", labeling.parsed_completion(F.col("t"))["label"].alias("x")).orderBy("i").collect()]
+    assert [done(t) for t in texts] == got and sum(got) == 2
+
+
+def test_backends_ask_in_their_form():
+    sent = []
+
+    def send(url, headers, body):
+        sent.append(body)
+        n = body.get("n", 1)
+        return {"choices": [{"message": {"content": f"c{i}"}} for i in range(n)]} if "messages" in body else {"output": {"choices": [{"text": f"t{i}"} for i in range(n)]}}
+
+    asked = {}
+    for form in backends.FORMS:
+        sent.clear()
+        b = backends.backend(form, "u", "m", send=send)
+        assert len(b.complete([{"role": "user", "content": "p"}] if b.chat else "p", 3)) == 3
+        asked[form] = (len(sent), b.chat, b.pause)
+        assert all(x["model"] == "m" for x in sent) and ("temperature" in sent[0]) == (form != "text/single-plain")
+    assert asked == {"text/single": (3, False, 1.0), "text/single-plain": (3, False, 1.0), "text/many": (1, False, 1.0), "chat/single": (3, True, 0.0), "chat/many": (1, True, 0.0)}
+    with pytest.raises(ValueError):
+        backends.backend("other", "u")
+    with pytest.raises(ValueError):
+        backends.texts_of({"error": "x"})
+    assert backends.texts_of(["a", {"generated_text": "b"}]) == ["a", "b"]
+
+
+def test_models_behind_chains(spark):
+    load = completion.deployed(lambda: lambda xs: [x * 2 for x in xs], (lambda xs: [len(x) for x in xs],), lambda out: [o + 1 for o in out])
+    assert load()(["a", "bcd"]) == [3, 7]
+
+
+def test_token_ids(spark):
+    tokenizers = pytest.importorskip("public_tokenizers")
+    path, end = tokenizers.path("word_bpe_49k.json"), "<|endoftext|>"
+    df = spark.createDataFrame([(1, "hello there"), (2, None), (3, "word " * 300)], "id int, t string").selectExpr("*", "1 as input_ids")
+    rows = {r.id: r for r in tokenising.tokenised(df, "t", path, 16, ("id",), begin="<|startoftext|>", end=end).collect()}
+    for r in rows.values():
+        assert len(r.input_ids) == len(r.attention_mask) == len(r.token_type_ids) == 16 and r.input_ids[0] == 49406 and not any(r.token_type_ids)
+    assert sum(rows[2].attention_mask) == 2 and sum(rows[1].attention_mask) == 4 and rows[1].input_ids[4:] == [49407] * 12
+    assert sum(rows[3].attention_mask) == 16 and rows[3].input_ids[-1] == 49407
+    assert tokenising.tokenised(df.limit(0), "t", path, 16).collect() == []
+    with pytest.raises(ValueError):
+        tokenising.loaded(path, 8, begin="<none of these>")
 
 
 def test_offline_labels_end_to_end(spark):

@@ -1,7 +1,9 @@
+import hashlib
 import json
 from pathlib import Path
 
 import pytest
+from palaver import settings
 from palaver.functions.text import clock_seconds
 from palaver.plans import cli, merge, pipeline
 from palaver.sources import readers, sinks
@@ -74,13 +76,19 @@ def test_stages_resume_and_chunks(spark, tmp_path):
         part.run("label")
     part.run(stop="two_party")
     for _ in range(4):
+        before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "b/dailytalk/label").glob("*.parquet")} if part.stored("label") else {}
         part.run("label", "label", 1)
+        after = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "b/dailytalk/label").glob("*.parquet")}
+        assert before.items() <= after.items()  # a chunk leaves the files of others alone
     assert part.load("label").count() == 12 and part.load("label").select("conv_id").distinct().count() == 4
     assert sorted((r.conv_id, r.utter_id) for r in part.run("empathetic").collect()) == rows
 
 
 def test_edited_copy_is_taken(spark, tmp_path):
-    run = pipeline.Pipeline(spark, DAILYTALK, str(tmp_path), scan)
+    plain = pipeline.Pipeline(spark, DAILYTALK, str(tmp_path / "plain"), scan)
+    plain.run(stop="label")
+    assert not sinks.exists(spark, f"{plain.path('label')}.edit")
+    run = pipeline.Pipeline(spark, DAILYTALK, str(tmp_path), scan, editable=True)
     run.run(stop="label")
     labelled = run.load("label")
     edit = sinks.read_editable(spark, f"{run.path('label')}.edit", labelled.schema)
@@ -119,3 +127,84 @@ def test_arguments_and_clock(spark, capsys):
     assert cli.main(["stages"]) == 0 and "segment:" in capsys.readouterr().out
     assert cli.arguments(["run", "--corpus", "mustard", "--root", "r", "--chunk", "200"]).chunk == 200
     assert spark.range(1).select(clock_seconds(F.lit("0:00:09"))).first()[0] == 9.0
+
+
+def test_interrupted_swaps_lose_no_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_swapped(spark.range(3), path)
+    (tmp_path / "t").rename(tmp_path / "t.old")  # as if ended between the two renames
+    sinks.settled(spark, path, f"{path}.old")
+    assert spark.read.parquet(path).count() == 3
+    (tmp_path / "t").rename(tmp_path / "t.old")
+    sinks.write_swapped(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5 and not (tmp_path / "t.old").exists()
+
+
+def test_upsert_touches_only_its_parts(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(200).selectExpr("cast(id as string) as conv_id", "id as n")
+    sinks.upsert_parts(df, path, ("conv_id",), 8)
+    times = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    sinks.upsert_parts(df.where("n = 5").withColumn("n", F.lit(-1).cast("long")), path, ("conv_id",), 8)
+    assert sum(p.exists() and p.stat().st_mtime_ns == t for p, t in times.items()) == len(times) - 1
+    rows = {r.conv_id: r.n for r in spark.read.parquet(path).collect()}
+    assert len(rows) == 200 and rows["5"] == -1 and rows["6"] == 6
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_ranks_need_no_window_over_all_groups(spark):
+    from palaver.operators import relational
+
+    df = spark.range(500).selectExpr("cast(id as string) as conv_id", "if(id % 7 = 0, null, id % 3) as place")
+    for by in ((), ("place",)):
+        out = relational.group_split(df, "conv_id", by=by)
+        plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+        single = [i for i, line in enumerate(plan) if "SinglePartition" in line]
+        assert all("HashAggregate(keys=[__b#" in plan[i + 1] for i in single) and len(single) <= (not by)  # counts of buckets only
+        rows = out.collect()
+        assert len(rows) == 500
+        for p in {r.place for r in rows} if by else {None}:
+            own = sorted((hashlib.md5(f"200{r.conv_id}".encode()).hexdigest(), r.split) for r in rows if not by or r.place == p)
+            t = round(len(own) * 0.8)
+            e = round((len(own) - t) * 0.5)
+            assert [s for _, s in own] == ["train"] * t + ["test"] * e + ["validation"] * (len(own) - t - e)
+
+
+def test_settings(tmp_path):
+    (tmp_path / "s.env").write_text("# a note\nROOT='x'\nexport SEED=7\n\nmeld = /m\n")
+    got = settings.load(str(tmp_path / "s.env"), {"PALAVER_MELD": "/n", "OTHER": "1"})
+    assert (got.root, got.seed, got.meld) == ("x", 7, "/n")
+    (tmp_path / "s.json").write_text('{"seed": 9}')
+    assert settings.load(str(tmp_path / "s.json"), {}).seed == 9
+    (tmp_path / "bad").write_text("nothing=1")
+    with pytest.raises(ValueError):
+        settings.load(str(tmp_path / "bad"), {})
+
+
+def test_merge_and_run_commands(spark, tmp_path):
+    for name in ("dailytalk", "mustard"):
+        df = spark.createDataFrame([(str(c), i, "t", "s", None) for c in range(10) for i in range(2)], "conv_id string, utter_id long, utterance string, speaker string, file_name string")
+        sinks.save_dataset(df, str(tmp_path / name))
+    assert cli.main(["merge", "--target", str(tmp_path / "m"), "--input", f"dailytalk={tmp_path}/dailytalk", "--input", f"mustard={tmp_path}/mustard"]) == 0
+    out = spark.read.parquet(str(tmp_path / "m"))
+    assert out.count() == 40 and {r.conv_id[:2] for r in out.collect()} == {"0_", "1_"}
+    with pytest.raises(SystemExit):
+        cli.main(["merge", "--target", str(tmp_path / "n"), "--root", str(tmp_path / "none")])
+    talk = {str(c): {str(i): {"dialog_idx": c, "utterance_idx": i, "text": "x" * n, "speaker": "AB"[i % 2], "emotion": "e", "act": "a"} for i, n in enumerate((1, 2))} for c in range(3)}
+    (tmp_path / "data").mkdir()
+    (tmp_path / "data/metadata.json").write_text(json.dumps(talk))
+    assert cli.main(["run", "--corpus", "dailytalk", "--root", str(tmp_path / "r"), "--data", f"file://{tmp_path}/data", "--no-media"]) == 0
+    assert spark.read.parquet(str(tmp_path / "r/dailytalk/final")).count() == 6
+    with pytest.raises(SystemExit):
+        cli.main(["run", "--corpus", "dailytalk", "--root", str(tmp_path / "r"), "--data", str(tmp_path / "nowhere")])
+
+
+def test_files_are_staged_under_new_names(spark, tmp_path):
+    for split in ("dev", "test", "train"):
+        meld(tmp_path / f"{split}_sent_emo_dya.csv", [(0, 0, "A"), (0, 1, "B")])
+    (tmp_path / "dev_splits_complete").mkdir()
+    (tmp_path / "dev_splits_complete/dia0_utt1.mp4").write_bytes(b"film")
+    rows = cli.cleaner(MELD, str(tmp_path), stage_files=True)(spark).collect()
+    paths = {(r.Dialogue_ID, r.Utterance_ID): r.file_path for r in rows}
+    assert paths[0, 1] == f"{tmp_path}/audio_files/0_1.mp3" and Path(paths[0, 1]).read_bytes() == b"film"
+    assert sum(p is not None for p in paths.values()) == 1
