@@ -18,6 +18,9 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BLOCK_BYTES = 24 << 20
 
 
+_made: dict[str, list[str]] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -41,6 +44,7 @@ def stored(df: DataFrame) -> DataFrame:
     """The same rows, read back from a table in shared storage: evaluated once, safe from lost executors."""
     spark = df.sparkSession
     path = scratch(spark)
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
@@ -50,6 +54,14 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_stored(spark: SparkSession) -> None:
+    """Remove all tables that `stored` has made in this application and that are still there; call it once results are written."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in _made.pop(spark.sparkContext.applicationId, []):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(hadoop).delete(path, True)
+
+
 def drop_stored(df: DataFrame) -> None:
     """Remove the files of a table made by `stored` once nothing reads them any more."""
     spark = df.sparkSession

@@ -44,6 +44,8 @@ BLOCKS = {"html", "body", "head", "article", "main", "section", "div", "p", "h1"
 CLOSES_P = BLOCKS - {"button", "label", "option", "select"}
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}, "tbody": {"table"}, "tfoot": {"table"}}
+#: Tag -> the tags whose reach it changes, and whether it ends it.
+REACHES = {t: [(k, t in SCOPE[k]) for k in CLOSED_BY if t in SCOPE[k] | CLOSED_BY[k]] for t in BLOCKS}
 #: Words of class, id and role, and what they tell.
 HINTS = {
     "ad": "ad ads advert advertisement advertising adbox adslot banner sponsor sponsored promo promotion promoted outbrain taboola teaser",
@@ -122,7 +124,9 @@ class Scanner:
 
     def tag_end(self, at: int) -> int:
         """Where the tag's `>` stands. Quotes count behind `=` only, and only if they are closed."""
-        page = self.page
+        page, stop = self.page, self.find(">", at)
+        if stop < 0 or (page.count("'", at, stop) == 0 and page.count('"', at, stop) % 2 == 0):
+            return stop
         while True:
             m = TAG_STOP.search(page, at) if ">" not in self.absent else None
             if m is None:
@@ -252,12 +256,14 @@ def parse(page: str) -> tuple[list[Node], int]:
                 elif name != "style":
                     for w in HINT.findall(value):
                         node.hints.update(WORD_GROUP.get(w, ()))
-        here = reach[-1] if tag in ("button", "label") else reach[-1] | {"p": len(stack) if tag == "p" else 0}
-        for k in CLOSED_BY:
-            if tag in SCOPE[k]:
-                here = here | {k: 0}
-            elif tag in CLOSED_BY[k]:
-                here = here | {k: len(stack)}
+        here, own = reach[-1], len(stack)
+        if tag == "p":
+            here = here | {"p": own}
+        elif here["p"] and tag not in ("button", "label"):
+            here = here | {"p": 0}
+        for k, ends in REACHES.get(tag, ()):
+            if here[k] or not ends:
+                here = here | {k: 0 if ends else own}
         nodes.append(node)
         stack.append(len(nodes) - 1)
         reach.append(here)

@@ -40,6 +40,7 @@ DOCS = 300
 SAMPLE = 60_000
 PIECES = 8
 STEPS_TRAINED = 64
+DEALS = 256
 ROUNDS = 400
 BATCH = 96
 
@@ -214,9 +215,11 @@ def train(df: DataFrame, mod: int = 5, held: int = 0, docs: int = DOCS, rounds:
     ship(df.sparkSession)
     known = df.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (id_remainder(F.col("doc_id"), mod) != held))
     known = known.select("doc_id", F.xxhash64("text").alias("d"), "lang", "text")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "d"), "doc_id")
-    # Narrow rows only: the window keeps `docs` of a language in each task before anything moves.
-    chosen = known.select("doc_id", "d", "lang").withColumn("n", F.row_number().over(first)).where(F.col("n") <= docs)
+    order = [F.xxhash64("doc_id", "d"), "doc_id"]
+    # Narrow rows only: each task keeps `docs` of a language, then each of DEALS groups of tasks, then the language.
+    chosen = known.select("doc_id", "d", "lang").withColumn("deal", F.spark_partition_id() % DEALS)
+    for key in (["lang", "deal"], ["lang"]):
+        chosen = chosen.withColumn("n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where(F.col("n") <= docs)
     chosen = stored(chosen.orderBy("n", "lang").limit(sample).select("doc_id", "d", "lang").distinct())
     key = ["doc_id", "d", "lang"]
 
