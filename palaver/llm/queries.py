@@ -31,4 +31,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": quality.ORACLE, "op5_benchmark_decontamination": decontaminate.ORACLE, "op8_hilbert_sharding": sharding.ORACLE}
+    return {
+        "op1_simhash_near_dedup": simhash.ORACLE,
+        "op3_quality_rules": quality.ORACLE,
+        "op5_benchmark_decontamination": decontaminate.ORACLE,
+        "op8_hilbert_sharding": sharding.ORACLE,
+        "op10_suffix_array_dedup": suffixdedup.ORACLE,
+    }

@@ -397,3 +397,45 @@ def deduplicated(df: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _sql() -> str:
+    """op1 in SQL: XXH64 by its definition on whole numbers, majorities, and all pairs of fingerprints."""
+    whole = "18446744073709551616::uhugeint"
+    #: The hash's primes.
+    p1, p2, p3, p4, p5 = (f"{p}::uhugeint" for p in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
+    mul = lambda a, b: f"(({a}) * ({b}) % {whole})"
+    add = lambda *xs: f"(({' + '.join(xs)}) % {whole})"
+    turn = lambda x, r: f"(({x}) * {1 << r} % {whole} + ({x}) // {1 << 64 - r})"
+    number = lambda at, n: "('0x' || " + " || ".join(f"substr(hx, 2 * ({at}) + {2 * i + 1}, 2)" for i in range(n - 1, -1, -1)) + ")::uhugeint"
+    fold = lambda first, count, at, n, step: f"list_reduce(list_concat([{first}], list_transform(range({count}), lambda q: {number(at, n)})), lambda a, x: {step})"
+    mixed = lambda x: mul(turn(mul(x, p2), 31), p1)
+    starts = [add(f"{SEED}::uhugeint", p1, p2), add(f"{SEED}::uhugeint", p2), f"{SEED}::uhugeint", f"({whole} + {SEED} - {p1})"]
+    lanes = ", ".join(f"{fold(s, 'n // 32', f'32 * q + {8 * j}', 8, mul(turn(add('a', mul('x', p2)), 31), p1))} as v{j}" for j, s in enumerate(starts))
+    merge = [add(mul(f"xor(e, {mixed(f'v{j}')})", p1), p4) for j in range(4)]
+    steps = "".join(f"e{j} as (select * replace ({m} as e) from e{j - 1 if j else ''}),\n" for j, m in enumerate(merge))
+    eight = fold("h", "(n % 32) // 8", "n // 32 * 32 + 8 * q", 8, add(mul(turn(f"xor(a, {mixed('x')})", 27), p1), p4))
+    four = fold("h", "(n % 8) // 4", "n // 8 * 8", 4, add(mul(turn(f"xor(a, {mul('x', p1)})", 23), p2), p3))
+    one = fold("h", "n % 4", "n // 4 * 4 + q", 1, mul(turn(f"xor(a, {mul('x', p5)})", 11), p1))
+    down = lambda r: f"xor(h, h // {1 << r})"
+    bits = " + ".join(f"(2 * sum((h >> {b}) & 1) > count(*))::int::uhugeint * {1 << b}" for b in range(64))
+    return f"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as ws from documents),
+t as (select doc_id, array_to_string(ws[i:i + least({SHINGLE}, len(ws)) - 1], ' ') as s from (select doc_id, ws, unnest(range(1, len(ws) - least({SHINGLE}, len(ws)) + 2)) as i from w where len(ws) > 0)),
+b as (select s, hex(encode(s)) as hx, octet_length(encode(s)) as n from (select distinct s from t)),
+v as (select *, {lanes} from b),
+e as (select *, {add(turn('v0', 1), turn('v1', 7), turn('v2', 12), turn('v3', 18))} as e from v),
+{steps}h0 as (select s, hx, n, {add('case when n < 32 then ' + add(f'{SEED}::uhugeint', p5) + ' else e end', 'n::uhugeint')} as h from e3),
+h1 as (select * replace ({eight} as h) from h0), h2 as (select * replace ({four} as h) from h1), h3 as (select * replace ({one} as h) from h2),
+h4 as (select * replace ({mul(down(33), p2)} as h) from h3), h5 as (select * replace ({mul(down(29), p3)} as h) from h4), h6 as (select s, ({down(32)})::ubigint as h from h5),
+f as (select doc_id, ({bits})::ubigint as fp from t join h6 using (s) group by 1),
+a as (select w.doc_id, coalesce(fp, 0::ubigint) as fp from w left join f using (doc_id)),
+u as (select fp, min(doc_id) as least_id from a group by 1),
+l as (select x.fp as p, y.fp as q from u x, u y where bit_count(xor(x.fp, y.fp)::hugeint) <= {MAX_BITS}),
+c as (select p, q from l union select c.p, l.q from c join l on c.q = l.p),
+r as (select p as fp, min(least_id) as component_id from c join u on c.q = u.fp group by 1)
+select doc_id, lpad(lower(hex(fp)), 16, '0') as fingerprint, component_id from a join r using (fp)
+"""
+
+
+ORACLE = _sql()

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palaver.llm.common import n_blocks, stored, table
+from palaver.llm.common import join_sized, n_blocks, stored, table
 from palaver.shipping import ship
 
 LENGTH = 100
@@ -507,9 +507,10 @@ def remove_repeats(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), with_text
     own = [F.col(c).alias(f"__keep_{i}") for i, c in enumerate(keep)]
     docs = keyed([*own, text.alias("__text")]).withColumn("block", number).repartition(deal, "block")
     names = keyed([digest.alias("__digest")])
-    firsts = names.groupBy("__digest").agg(F.min("__id").alias("first"))
+    # Only texts that have copies; stored, so that Spark may split a large group's rows over tasks.
+    firsts = stored(names.groupBy("__digest").agg(F.min("__id").alias("first"), F.max("__id").alias("last")).where("first < last").select("__digest", "first"))
     zero = F.lit(0).cast("long")
-    copies = names.join(firsts, "__digest").where("__id > first").select(number.alias("block"), F.lit(COPY).alias("kind"), F.col("__id").alias("a"), F.col("__tie").alias("b"), zero.alias("c"), zero.alias("d"))
+    copies = join_sized(names, firsts, "__digest", "inner").where("__id > first").select(number.alias("block"), F.lit(COPY).alias("kind"), F.col("__id").alias("a"), F.col("__tie").alias("b"), zero.alias("c"), zero.alias("d"))
     meet = lambda side, f, schema: docs.groupBy("block").cogroup(side.groupBy("block")).applyInArrow(f, schema)
     n_ranges = max(FAN, -(-blocks // RANGE_BLOCKS))
     rate = max(1, blocks * block_bytes // (GRAM * SAMPLED * n_ranges))
@@ -543,3 +544,18 @@ def cleaned(df: DataFrame) -> DataFrame:
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+#: The same in SQL: every window of every text by its digest, the later ones put together to runs.
+ORACLE = f"""
+with d as (select doc_id, encode(coalesce(text, '')) as b, hex(encode(coalesce(text, ''))) as h from documents),
+w as (select doc_id, i, md5(substr(h, 2 * i + 1, {2 * LENGTH})) as m from (select doc_id, h, unnest(range(0, octet_length(b) - {LENGTH - 1})) as i from d)),
+r as (select doc_id, i from w qualify row_number() over (partition by m order by doc_id, i) > 1),
+n as (select *, case when i <= lag(i) over (partition by doc_id order by i) + {LENGTH} then 0 else 1 end as new from r),
+g as (select *, sum(new) over (partition by doc_id order by i) as run from n),
+s as (select doc_id, run, min(i) as a, max(i) + {LENGTH} as z from g group by 1, 2),
+p as (select s.*, h, coalesce(lag(z) over (partition by doc_id order by a), 0) as done from s join d using (doc_id)),
+k as (select doc_id, string_agg(substr(h, 2 * done + 1, 2 * (a - done)), '' order by a) || substr(any_value(h), 2 * max(z) + 1) as rest, sum(z - a) as n_removed, count(*) as n_spans from p group by 1)
+select doc_id, octet_length(b)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(case when rest is null then b else unhex(rest) end) as kept_sha256 from d left join k using (doc_id)
+"""
