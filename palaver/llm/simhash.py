@@ -43,6 +43,8 @@ SHINGLE = 3
 MAX_BITS = 3
 #: Homes at one anchor beyond which its members are dealt into slices of about so many.
 SLICE = 2000
+#: Rows of an anchor that are in hand at a time; of those gone through only the homes stay.
+HELD = 1 << 20
 #: Ids that may be broadcast.
 NARROW_ROWS = 500_000
 #: Shingles that are hashed at a time, whatever the text's length.
@@ -116,8 +118,10 @@ def anchored(points: DataFrame) -> DataFrame:
 def _sliced(rows: DataFrame, size: int) -> DataFrame:
     """rows with a cell: 0, or for anchors with many homes or members one cell for each pair of a slice of homes and
     one of members."""
-    count = rows.groupBy("anchor").agg(F.count_if("home").alias("homes"), F.count("*").alias("members"))
-    hot = count.where((F.col("homes") > 0) & ((F.col("homes") > size) | (F.col("members") > 8 * size)))
+    # Members are counted only where homes are many: beside those few, a group's cost is linear in its members.
+    homes = rows.where("home").groupBy("anchor").agg(F.count("*").alias("homes")).where(F.col("homes") > size // 16)
+    count = join_sized(rows, stored(homes), "anchor", "inner").groupBy("anchor").agg(F.first("homes").alias("homes"), F.count("*").alias("members"))
+    hot = count.where((F.col("homes") > size) | (F.col("members") > 8 * size))
     kh = F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("homes") / size)).cast("int"))
     hot = stored(hot.select("anchor", kh.alias("kh"), F.greatest(kh, F.ceil(F.col("members") / (8 * size)).cast("int")).alias("km")))
     if hot.isEmpty():
@@ -169,6 +173,14 @@ def anchor_links(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             end = len(anchor) if batch is None else (new[-1] if len(new) else 0)
             rest = [c[end:] for c in cols]
             if not end:
+                if len(anchor) > HELD:
+                    at_home = home.astype(bool)
+                    points = fp.astype(np.int64).view(np.uint64)
+                    links = _group_links(points[at_home], points, max_bits)
+                    if links:
+                        a, b = np.array(links, np.uint64).view(np.int64).T
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                    rest = [c[at_home] for c in cols]
                 continue
             starts = np.concatenate(([0], new[new < end]))
             sizes = np.diff(np.concatenate((starts, [end])))

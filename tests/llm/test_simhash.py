@@ -134,3 +134,13 @@ def test_few_homes_with_many_members_are_sliced(spark):
     cells = simhash._sliced(rows, 5).where("anchor = 1").groupBy("cell").count().collect()
     assert len(cells) == 5 and max(r["count"] for r in cells) < 80
     check(spark, planted(4, 2, 200, 2), 3)
+
+
+def test_anchors_larger_than_what_is_held(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HELD", 20)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        check(spark, planted(8, 2, 150, 2) + planted(9, 10, 4, 3), 2000)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
