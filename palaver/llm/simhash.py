@@ -59,7 +59,7 @@ FACTORS, TERMS = np.random.default_rng(SEED).integers(0, 1 << 32, (2, BANDS * BA
 SINGLES = 10
 #: Minimum hashes of which four bits may differ: 24 at similarity 0.8 on average, with a deviation of 4.4.
 CODE_DIFFERS = 50
-#: Members and shingles of a slice of such a group.
+#: Members and shingles of a slice of such a group, and shingles of sets that are in hand at a time.
 MEMBERS, SHINGLES = 500, 500_000
 
 
@@ -280,10 +280,13 @@ def shingle_sets(df: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                hs = [shingle_set(t.as_py(), shingle).view(np.int64) for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(hs, pa.list_(pa.int64()))], ["s", "hs"])
+            at, held, hs = 0, 0, []
+            for i, t in enumerate(batch.column(1)):
+                hs.append(shingle_set(t.as_py(), shingle).view(np.int64))
+                held += len(hs[-1])
+                if i + 1 == batch.num_rows or held >= SHINGLES:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(hs)), pa.array(hs, pa.list_(pa.int64()))], ["s", "hs"])
+                    at, held, hs = i + 1, 0, []
 
     return texts.select("s", "text").mapInArrow(run, "s long, hs array<long>")
 
