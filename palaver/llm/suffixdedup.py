@@ -56,7 +56,9 @@ COPY, ANCHOR, CUT = 0, 1, 2
 SIDE = "block int, kind int, a long, b long, c long, d long"
 RUNS = "part long, kind int, run binary"
 #: Runs that are merged at a time, blocks whose entries make one range in the end, and sampled suffixes for each range.
-FAN, RANGE_BLOCKS, SAMPLED = 64, 8, 8
+FAN, RANGE_BLOCKS, SAMPLED = 64, 8, 16
+#: Bytes of text for each different anchor that repeats, at the least; the sample is cut down if there are more.
+REPEATED_EVERY = 1600
 C1, C2, C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
 
@@ -512,15 +514,16 @@ def remove_repeats(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), with_text
     zero = F.lit(0).cast("long")
     copies = join_sized(names, firsts, "__digest", "inner").where("__id > first").select(number.alias("block"), F.lit(COPY).alias("kind"), F.col("__id").alias("a"), F.col("__tie").alias("b"), zero.alias("c"), zero.alias("d"))
     meet = lambda side, f, schema: docs.groupBy("block").cogroup(side.groupBy("block")).applyInArrow(f, schema)
-    n_ranges = max(FAN, -(-blocks // RANGE_BLOCKS))
-    rate = max(1, blocks * block_bytes // (GRAM * SAMPLED * n_ranges))
+    n_ranges = max(4 * FAN, -(-blocks // RANGE_BLOCKS))
+    rate = max(1, blocks * block_bytes // (REPEATED_EVERY * SAMPLED * n_ranges))
     hashes = meet(copies, emit_anchors(rate), "key long, block int, n int, gram binary").repartition(deal, "key")
     twice = F.sum("n").over(Window.partitionBy("key"))
     known = stored(hashes.withColumn("all", twice).where("all > 1").select("key", "block", "gram"))
-    borders = known.where("gram is not null").groupBy("key").agg(F.min("gram").alias("gram")).select("gram")
-    # Every m-th of the sample in order, a few for each range.
-    grams = sorted(bytes(r[0]) for r in borders.collect())
-    ranges = Ranges(grams[:: max(1, len(grams) // n_ranges)][1:], blocks, FAN)
+    borders = known.where("gram is not null").groupBy("key").agg(F.min("gram").alias("gram"))
+    few = max(1, borders.count() // (2 * SAMPLED * n_ranges))
+    # At most a few dozen for each range come to the driver; of them, in order, each so-manieth is a border.
+    grams = sorted(bytes(r[0]) for r in borders.where(F.pmod(F.xxhash64("key"), F.lit(few)) == 0).select("gram").collect())
+    ranges = Ranges([grams[i * len(grams) // n_ranges] for i in range(1, n_ranges)] if grams else [], blocks, FAN)
     sent = spark.sparkContext.broadcast(ranges)
     anchors_ = known.select("block", F.lit(ANCHOR).alias("kind"), F.col("key").alias("a"), zero.alias("b"), zero.alias("c"), zero.alias("d"))
     runs = meet(copies.unionByName(anchors_), emit_runs(sent), RUNS)
