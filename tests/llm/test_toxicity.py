@@ -106,3 +106,29 @@ def test_long_words_train_and_nothing_is_cut():
     counted = list(toxicity._count(iter([pa.RecordBatch.from_arrays([pa.array([word] * 3), pa.array([1, 0, 0])], ["text", "label"])])))
     table = dict(zip(counted[0].column(0).to_pylist(), zip(counted[0].column(1).to_pylist(), counted[0].column(2).to_pylist())))
     assert table["=" + word] == (1, 2) and table["\taba"][0] == 3 * 59
+
+
+def test_all_labelled_texts_train_whatever_their_number(spark, documents, monkeypatch):
+    texts, labels = made(400, seed=3)
+    df, marks = documents(texts), spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
+    whole = toxicity.train(df, marks)
+    collected = []
+    monkeypatch.setattr(toxicity, "logistic", lambda x, y: collected.append(len(y)))
+    for limit in ("SAMPLE", "IN_HAND"):  # far fewer than there are
+        monkeypatch.setattr(toxicity, limit, 20, raising=False)
+    more = toxicity.train(df, marks)
+    assert not collected and more.counts == whole.counts and more.channel.tri == whole.channel.tri
+    assert max(abs(a - b) for a, b in zip(more.coefficients, whole.coefficients, strict=True)) < 1e-5
+    assert toxicity.train(df.repartition(7), marks.repartition(5)).coefficients == more.coefficients
+
+
+def test_no_label_is_left_out_beyond_the_former_sample(spark):
+    n = 31_000  # about 20,600 that are not held out
+    docs = spark.range(n).selectExpr("id as doc_id", "if(id % 2 = 0, 'mori nosu idiot', 'mori nosu tael') as text")
+    marks = spark.range(n).selectExpr("id as doc_id", "int(id % 2 = 0) as toxic")
+    learned = [i for i in range(n) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert len(learned) > 20_000
+    m = toxicity.train(docs, marks)
+    assert m.counts["=idiot"] == (sum(i % 2 == 0 for i in learned), 0)
+    assert m.channel.tri["^^m"] == len(learned)
+    assert m.score("mori nosu idiot") > 0.9 and m.score("mori nosu tael") < 0.1
