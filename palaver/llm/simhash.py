@@ -15,9 +15,9 @@ comparisons connect, not all pairs.
 
 Those shingles of three words and three bits are op1's. The pipeline's stage (`deduplicated`) takes
 texts for near copies whose sets of five-word shingles have a similarity (common over all) of 0.8 or
-more. At 0.8 fingerprints differ in a seventh of their bits, which anchors can not cover (a half of 32
-bits stays within one flip for one pair in 28), so candidates share a band of minimum hashes instead, and
-the exact similarity of the sets decides.
+more. At 0.8 fingerprints differ in a seventh of their bits, so a pair meets at an anchor of either half of one
+fingerprint in about one case of six. A set therefore has SERIES fingerprints, each the majority over hashes of
+its own, and all go to their anchors as op1's do; the exact similarity of the sets decides about those that meet.
 
 Defined cases: null and empty texts, and texts of white space, have no shingle and the fingerprint
 zero; texts with fewer words than a shingle are one shingle; repeated rows and equal texts share a
@@ -52,14 +52,14 @@ STEP = 1 << 17
 #: Near copies for the pipeline: words of a shingle, least similarity of two texts' sets of shingles.
 COPY_SHINGLE = 5
 PERCENT = 80
-#: Their sketch: bands of minimum hashes. Sets of similarity 0.8 share no band with probability (1 - 0.8^4)^32 = 5e-8.
-BANDS, BAND = 32, 4
-FACTORS, TERMS = np.random.default_rng(SEED).integers(0, 1 << 32, (2, BANDS * BAND), np.uint32) | np.array([[1], [0]], np.uint32)
-#: Single minimum hashes that group what the bands leave open: none is shared with probability 0.2^10 = 1e-7.
-SINGLES = 10
-#: Minimum hashes of which four bits may differ: 24 at similarity 0.8 on average, with a deviation of 4.4.
-CODE_DIFFERS = 50
-#: Members and shingles of a slice of such a group, and shingles of sets that are in hand at a time.
+#: Their fingerprints. Sets of similarity 0.8 meet at no anchor of any of them with probability 0.845^64 = 2e-5.
+SERIES, ROUND = 64, 8
+SALTS = np.random.default_rng(SEED).integers(0, 1 << 64, SERIES, np.uint64, endpoint=False)
+#: Bits of one fingerprint that may differ where two meet: the half in which they meet has up to 3, the other 5 on average.
+NEAR_BITS = 12
+#: Bits of all fingerprints together: 620 at similarity 0.8 with a deviation of 23 (770 for sets of 4 and 5), 2,048 by chance.
+FAR_BITS = 1000
+#: Members and shingles of a slice of a class of candidates, and shingles of sets that are in hand at a time.
 MEMBERS, SHINGLES = 500, 500_000
 
 
@@ -103,16 +103,19 @@ def _masks() -> list[list[int]]:
 
 
 def anchored(points: DataFrame) -> DataFrame:
-    """points: distinct fp. Returns anchor (with the half in its top bits), fp, home: one row for each anchor that fp goes to."""
+    """points: distinct fp, and series if there are several. Returns anchor (with series and half in its top bits), fp, home:
+    one row for each anchor that fp goes to."""
+    series_ = [c for c in points.columns if c == "series"]
+    top = F.col("half").cast("long") * (1 << 31) + sum((F.col(c).cast("long") * (1 << 32) for c in series_), F.lit(0))
     columns = [sum(1 << (i - 1) for i in range(1, 32) if i >> b & 1) for b in range(5)]
     table_ = F.array(*[F.array(*[F.lit(m).cast("long") for m in row]) for row in _masks()])
-    halves = points.select("fp", F.posexplode(F.array(F.col("fp").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("fp", 32))).alias("half", "h"))
-    coded = halves.select("fp", "half", F.col("h").bitwiseAND(0x7FFFFFFF).alias("h"))
+    halves = points.select("fp", *series_, F.posexplode(F.array(F.col("fp").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("fp", 32))).alias("half", "h"))
+    coded = halves.select("fp", *series_, "half", F.col("h").bitwiseAND(0x7FFFFFFF).alias("h"))
     syndrome = F.lit(0)
     for b, mask in enumerate(columns):
         syndrome = syndrome + (F.bit_count(F.col("h").bitwiseAND(mask)) % 2) * (1 << b)
-    near = coded.withColumn("s", syndrome.cast("int")).select("fp", "half", "h", F.posexplode(table_[F.col("s")]).alias("k", "m"))
-    return near.select((F.col("h").bitwiseXOR(F.col("m")) + F.col("half").cast("long") * (1 << 31)).alias("anchor"), "fp", (F.col("k") == 0).alias("home"))
+    near = coded.withColumn("s", syndrome.cast("int")).select("fp", *series_, "half", "h", F.posexplode(table_[F.col("s")]).alias("k", "m"))
+    return near.select((F.col("h").bitwiseXOR(F.col("m")) + top).alias("anchor"), "fp", (F.col("k") == 0).alias("home"))
 
 
 def _sliced(rows: DataFrame, size: int) -> DataFrame:
@@ -152,7 +155,7 @@ def _group_links(homes: np.ndarray, members: np.ndarray, max_bits: int) -> list[
 
 
 def anchor_links(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """a, b: links between different fingerprints found at the anchors."""
+    """a, b: links between different fingerprints found at the anchors; every: whether all of that anchor's are given."""
     ship(rows.sparkSession)
     key = ["anchor", "cell"]
     dealt = rows.repartition(*key).sortWithinPartitions(*key, F.desc("home"), "fp")
@@ -179,14 +182,14 @@ def anchor_links(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                     links = _group_links(points[at_home], points, max_bits)
                     if links:
                         a, b = np.array(links, np.uint64).view(np.int64).T
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.zeros(len(a), bool))], ["a", "b", "every"])
                     rest = [c[at_home] for c in cols]
                 continue
             starts = np.concatenate(([0], new[new < end]))
             sizes = np.diff(np.concatenate((starts, [end])))
             n_home = np.add.reduceat(home[:end].astype(np.int64), starts)
             fp = fp.astype(np.int64).view(np.uint64)
-            found_a, found_b = [], []
+            found_a, found_b, found_every = [], [], []
             use = (n_home > 0) & (sizes > 1)
             small = use & (sizes <= 64)
             if small.any():  # all pairs of a home and a member, of many groups at once
@@ -200,6 +203,7 @@ def anchor_links(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 near = (np.bitwise_count(fp[a] ^ fp[b]) <= max_bits) & (fp[a] != fp[b])
                 found_a.append(fp[a][near])
                 found_b.append(fp[b][near])
+                found_every.append(np.ones(near.sum(), np.int64))
             for i in np.flatnonzero(use & ~small):
                 s, z, h = starts[i], sizes[i], n_home[i]
                 links = _group_links(fp[s : s + h], fp[s : s + z], max_bits)
@@ -207,12 +211,13 @@ def anchor_links(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                     a, b = np.array(links, np.uint64).T
                     found_a.append(a)
                     found_b.append(b)
+                    found_every.append(np.zeros(len(a), np.int64))
             if found_a:
                 a, b = np.concatenate(found_a).view(np.int64), np.concatenate(found_b).view(np.int64)
-                pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair[:, 0])), pa.array(np.ascontiguousarray(pair[:, 1]))], ["a", "b"])
+                pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b), np.concatenate(found_every)], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(pair[:, k])) for k in range(2)), pa.array(pair[:, 2] == 1)], ["a", "b", "every"])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long, every boolean")
 
 
 def _then_none(batches):
@@ -241,25 +246,57 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(np.array([h(flat[a:b], SEED) for a, b in zip(starts.tolist(), ends[max(k - 1, 0) :].tolist(), strict=True)], np.uint64))
 
 
-def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a set of shingles the keys of the bands, four bits of each minimum hash, and the keys of single ones, as longs."""
-    low, mins = hashes.astype(np.uint32), np.full(BANDS * BAND, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(low), 512):
-        np.minimum(mins, (FACTORS[:, None] * low[None, at : at + 512] + TERMS[:, None]).min(axis=1), out=mins)
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for column in mins.reshape(BANDS, BAND).T:
-        keys = (keys ^ column) * np.uint64(0x9E3779B97F4A7C15)
-        keys ^= keys >> np.uint64(29)
-    nibbles = (mins & 15).astype(np.uint8)
-    singles = mins[:SINGLES].astype(np.uint64) | np.arange(SINGLES, dtype=np.uint64) << np.uint64(32)
-    return keys.view(np.int64), (nibbles[::2] | nibbles[1::2] << 4).view(np.int64), singles.view(np.int64)
+def _counted(levels: list[np.ndarray]) -> list[np.ndarray]:
+    """Numbers of ones, bit by bit, as binary digits (least first, one row each); levels: rows that count 1, 2, 4, ..."""
+    out, k = [], 0
+    levels = list(levels)
+    while k < len(levels):
+        rows, carried = levels[k], []
+        while len(rows) > 1:
+            t = max(1, len(rows) // 3)
+            a, b = rows[:t], rows[t : 2 * t]
+            x = a ^ b
+            c = rows[2 * t : 3 * t] if len(rows) > 2 else np.zeros_like(x)
+            carried.append((a & b) | (x & c))
+            rows = np.concatenate([x ^ c, rows[3 * t :]])
+        if carried:
+            if k + 1 == len(levels):
+                levels.append(np.concatenate(carried))
+            else:
+                levels[k + 1] = np.concatenate([levels[k + 1], *carried])
+        out.append(rows)
+        k += 1
+    return out
+
+
+def series(hashes: np.ndarray) -> np.ndarray:
+    """The SERIES fingerprints of a set of shingles, as longs."""
+    digits: list[np.ndarray] = []
+    for at in range(0, len(hashes), 4096):
+        x = (hashes[at : at + 4096, None] ^ SALTS) * np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(29)
+        new = _counted([x])
+        both = [np.concatenate([d[k] for d in (digits, new) if k < len(d)]) for k in range(max(len(digits), len(new)))]
+        digits = _counted(both)
+    # More than half: compared digit by digit, the greatest first.
+    half, full = len(hashes) // 2, ~np.uint64(0)
+    more, same = np.zeros(SERIES, np.uint64), np.full(SERIES, full)
+    for k in reversed(range(max(len(digits), half.bit_length()))):
+        digit = digits[k][0] if k < len(digits) else np.zeros(SERIES, np.uint64)
+        if half >> k & 1:
+            same &= digit
+        else:
+            more |= same & digit
+            same &= ~digit
+    return more.view(np.int64)
 
 
 def sketches(df: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
-    """doc_id, d (hash of the text), s (hash of its set of shingles), n (their number), keys, code and singles of the sketch."""
+    """doc_id, d (hash of the text), s (hash of its set of shingles), n (their number), code (its fingerprints)."""
     ship(df.sparkSession)
-    schema = T.StructType([df.schema["doc_id"], *T._parse_datatype_string("d long, s long, n int, keys array<long>, code array<long>, singles array<long>").fields])
-    empty = np.zeros(0, np.int64), np.zeros(BANDS * BAND // 16, np.int64), np.zeros(0, np.int64)
+    schema = T.StructType([df.schema["doc_id"], *T._parse_datatype_string("d long, s long, n int, code array<long>").fields])
 
     def run(batches):
         for batch in batches:
@@ -267,13 +304,37 @@ def sketches(df: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
                 part, out = batch.slice(at, 1000), []
                 for text in part.column(2):
                     hs = shingle_set(text.as_py(), shingle)
-                    out.append((np.uint64(xxhash.xxh64_intdigest(hs.tobytes(), SEED)).astype(np.int64), len(hs), *(sketch(hs) if len(hs) else empty)))
-                s, n, *lists = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(s, pa.int64()), pa.array(n, pa.int32()), *(pa.array(x, pa.list_(pa.int64())) for x in lists)], schema.fieldNames())
+                    out.append((np.uint64(xxhash.xxh64_intdigest(hs.tobytes(), SEED)).astype(np.int64), len(hs), series(hs) if len(hs) else np.zeros(0, np.int64)))
+                s, n, code = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(s, pa.int64()), pa.array(n, pa.int32()), pa.array(code, pa.list_(pa.int64()))], schema.fieldNames())
 
     return df.select("doc_id", F.xxhash64("text").alias("d"), "text").mapInArrow(run, schema)
 
 
+def meetings(points: DataFrame, slice_size: int = SLICE) -> DataFrame:
+    """s, t: candidates, links by fingerprints that meet at an anchor; points: s, code.
+
+    Of few fingerprints at an anchor all links are given, of many as many as connect them. The former are
+    dropped if the two sets' fingerprints differ in more than FAR_BITS altogether.
+    """
+    found = None
+    for first in range(0, SERIES, ROUND):
+        own = points.select("s", F.posexplode(F.slice("code", first + 1, ROUND)).alias("series", "fp"))
+        # Of sets with one fingerprint the least stands for all, and is linked to each.
+        nodes = stored(own.groupBy("series", "fp").agg(F.min("s").alias("lead"), (F.count("*") > 1).alias("several")))
+        links = anchor_links(_sliced(anchored(nodes.select("fp", "series")), slice_size), NEAR_BITS)
+        end = lambda c: nodes.groupBy(F.col("fp").alias(c)).agg(F.min("lead").alias(f"s{c}"), F.max("several").alias(f"several_{c}"))
+        met = links.distinct().join(end("a"), "a").join(end("b"), "b").where("sa <> sb")
+        met = met.select(F.least("sa", "sb").alias("s"), F.greatest("sa", "sb").alias("t"), F.expr("every and not several_a and not several_b").alias("every"))
+        shared = own.join(nodes.where("several"), ["series", "fp"]).where("s <> lead").select(F.least("s", "lead").alias("s"), F.greatest("s", "lead").alias("t"), F.lit(False).alias("every"))
+        part = stored(met.union(shared).groupBy("s", "t").agg(F.min("every").alias("every")))
+        found = part if found is None else found.union(part)
+    found = found.groupBy("s", "t").agg(F.min("every").alias("every"))
+    far = F.aggregate(F.zip_with("code", "code2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    tested = found.where("every").join(points.select("s", "code"), "s").join(points.select(F.col("s").alias("t"), F.col("code").alias("code2")), "t").where(far <= FAR_BITS)
+    return tested.select("s", "t").union(found.where("not every").select("s", "t"))
+
+
 def shingle_sets(df: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """s, hs (sorted hashes) of the sets wanted; wanted: s and d, the hash of a text that has the set."""
     texts = join_sized(df.select("text", F.xxhash64("text").alias("d")), wanted, "d", "inner", NARROW_ROWS).dropDuplicates(["s"])
@@ -309,11 +370,8 @@ def open_links(members: DataFrame) -> DataFrame:
         for i in range(len(s)):
             if across and part[i] != first[0]:
                 continue
-            x = codes ^ codes[i]
-            x |= x >> np.uint64(2)
-            x |= x >> np.uint64(1)
-            differ = np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1)
-            near = (differ <= CODE_DIFFERS) & (np.minimum(sizes, sizes[i]) * 100 >= np.maximum(sizes, sizes[i]) * PERCENT)
+            differ = np.bitwise_count(codes ^ codes[i]).sum(axis=1, dtype=np.int64)
+            near = (differ <= FAR_BITS) & (np.minimum(sizes, sizes[i]) * 100 >= np.maximum(sizes, sizes[i]) * PERCENT)
             near &= (part == second[0]) if across else (np.arange(len(s)) > i)
             for j in np.flatnonzero(near & (label != label[i])).tolist():
                 if label[i] == label[j]:
@@ -356,22 +414,21 @@ def _dealt(rows: DataFrame, members: int) -> DataFrame:
 def near_copies(df: DataFrame, shingle: int = COPY_SHINGLE, members: int = MEMBERS) -> DataFrame:
     """doc_id, d (hash of the text), root: one value for texts that links of similarity PERCENT or more connect.
 
-    Sets that share a band are candidates. First each is compared with two leads of each of its bands (the
-    set that shares most bands with others, and that of the least hash). What those links leave open, sets
-    that share a band but no root, meets in groups by single minimum hashes, and is compared there, inside
-    the tasks, until nothing is left. Only exact similarity makes a link.
+    Candidates meet at anchors (`meetings`), and sets that candidates connect are a class. First each is compared
+    with two leads of its class (the set that is a candidate with most others, and that of the least hash). Classes
+    that those links leave in several parts are compared whole inside the tasks. Only exact similarity makes a link.
     """
     prints = stored(sketches(df, shingle))
-    points = stored(prints.drop("doc_id").dropDuplicates(["s"]))
-    bands = points.select("s", F.explode("keys").alias("key"))
-    sizes = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    shared = stored(bands.join(sizes, "key"))
-    score = shared.groupBy("s").agg(F.sum("size").alias("score"))
+    points = stored(prints.drop("doc_id").where("n > 0").dropDuplicates(["s"]))
+    found = stored(meetings(points))
+    score = found.select(F.explode(F.array("s", "t")).alias("s")).groupBy("s").agg(F.count("*").alias("score"))
+    classes = stored(components(found.select(F.col("s").alias("a"), F.col("t").alias("b"))))
+    shared = stored(score.join(classes.withColumnRenamed("node", "s"), "s", "left").select("s", "score", F.coalesce("root", "s").alias("key")))
     lead = lambda order: F.max_by("s", order)
-    leads = stored(shared.join(score, "s").groupBy("key").agg(lead(F.struct("score", "s")).alias("lead0"), lead(F.xxhash64("s")).alias("lead1")))
+    leads = stored(shared.groupBy("key").agg(lead(F.struct("score", "s")).alias("lead0"), lead(F.xxhash64("s")).alias("lead1")))
     led = join_sized(shared, leads, "key", "inner").select("s", F.explode(F.array("lead0", "lead1")).alias("lead")).where("s <> lead")
     pairs = stored(led.distinct())
-    wanted = stored(points.select("s", "d").join(shared.select("s").distinct(), "s"))
+    wanted = stored(points.select("s", "d").join(shared.select("s"), "s"))
     sets = stored(shingle_sets(df, wanted, shingle))
     other = sets.select(F.col("s").alias("lead"), F.col("hs").alias("hs2"))
     enough = F.size(F.array_intersect("hs", "hs2")) * (100 + PERCENT) >= (F.size("hs") + F.size("hs2")) * PERCENT
@@ -380,9 +437,9 @@ def near_copies(df: DataFrame, shingle: int = COPY_SHINGLE, members: int = MEMBE
     rooted = shared.join(roots, "s", "left").withColumn("root", F.coalesce("root", "s"))
     mixed = stored(rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key"))
     if not mixed.isEmpty():
-        left = stored(join_sized(rooted.drop("size"), mixed, "key", "left_semi").select("s", "root").distinct())
-        facts = stored(points.select("s", "n", "code", "singles").join(left, "s"))
-        placed = _dealt(facts.select("s", "root", "n", F.explode("singles").alias("key")), members)
+        left = join_sized(rooted, mixed, "key", "left_semi").select("s", "root", "key")
+        facts = stored(points.select("s", "n", "code").join(left, "s"))
+        placed = _dealt(facts.select("s", "root", "n", "key"), members)
         full = placed.join(facts.select("s", "code").join(sets, "s"), "s")
         links = links.union(stored(open_links(full)))
         roots = stored(components(links).withColumnRenamed("node", "s"))
