@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palaver.llm.common import join_sized, stored, table
+from palaver.llm.common import drop_stored, join_sized, stored, table
 from palaver.llm.components import components
 from palaver.shipping import ship
 
@@ -54,6 +54,8 @@ COPY_SHINGLE = 5
 PERCENT = 80
 #: Their fingerprints. Sets of similarity 0.8 meet at no anchor of any of them with probability 0.845^64 = 2e-5.
 SERIES, ROUND = 64, 8
+#: Fingerprints of the first round. Sets that it connects share a label, and the other rounds look for links between labels only.
+FIRST = 1
 SALTS = np.random.default_rng(SEED).integers(0, 1 << 64, SERIES, np.uint64, endpoint=False)
 #: Bits of one fingerprint that may differ where two meet: the half in which they meet has up to 3, the other 5 on average.
 NEAR_BITS = 12
@@ -102,34 +104,40 @@ def _masks() -> list[list[int]]:
     return [[0]] + [[bit(s)] + [bit(i) | bit(i ^ s) for i in range(1, 32) if i < i ^ s] for s in range(1, 32)]
 
 
-def anchored(points: DataFrame) -> DataFrame:
-    """points: distinct fp, and series if there are several. Returns anchor (with series and half in its top bits), fp, home:
-    one row for each anchor that fp goes to."""
+def anchored(points: DataFrame, homes_only: bool = False) -> DataFrame:
+    """points: fp, series if there are several, and what goes with them. Returns anchor (with series and half in its top
+    bits), fp, home, and what goes with them: one row for each anchor that fp goes to, or for its homes only."""
+    kept = [c for c in points.columns if c != "series"]
     series_ = [c for c in points.columns if c == "series"]
     top = F.col("half").cast("long") * (1 << 31) + sum((F.col(c).cast("long") * (1 << 32) for c in series_), F.lit(0))
     columns = [sum(1 << (i - 1) for i in range(1, 32) if i >> b & 1) for b in range(5)]
-    table_ = F.array(*[F.array(*[F.lit(m).cast("long") for m in row]) for row in _masks()])
-    halves = points.select("fp", *series_, F.posexplode(F.array(F.col("fp").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("fp", 32))).alias("half", "h"))
-    coded = halves.select("fp", *series_, "half", F.col("h").bitwiseAND(0x7FFFFFFF).alias("h"))
+    table_ = F.array(*[F.array(*[F.lit(m).cast("long") for m in (row[:1] if homes_only else row)]) for row in _masks()])
+    halves = points.select(*kept, *series_, F.posexplode(F.array(F.col("fp").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("fp", 32))).alias("half", "h"))
+    coded = halves.select(*kept, *series_, "half", F.col("h").bitwiseAND(0x7FFFFFFF).alias("h"))
     syndrome = F.lit(0)
     for b, mask in enumerate(columns):
         syndrome = syndrome + (F.bit_count(F.col("h").bitwiseAND(mask)) % 2) * (1 << b)
-    near = coded.withColumn("s", syndrome.cast("int")).select("fp", *series_, "half", "h", F.posexplode(table_[F.col("s")]).alias("k", "m"))
-    return near.select((F.col("h").bitwiseXOR(F.col("m")) + top).alias("anchor"), "fp", (F.col("k") == 0).alias("home"))
+    near = coded.withColumn("s", syndrome.cast("int")).select(*kept, *series_, "half", "h", F.posexplode(table_[F.col("s")]).alias("k", "m"))
+    return near.select((F.col("h").bitwiseXOR(F.col("m")) + top).alias("anchor"), *kept, (F.col("k") == 0).alias("home"))
 
 
-def _sliced(rows: DataFrame, size: int) -> DataFrame:
-    """rows with a cell: 0, or for anchors with many homes or members one cell for each pair of a slice of homes and
-    one of members."""
+def _hot(homes: DataFrame, rows: DataFrame, size: int) -> DataFrame:
+    """Anchors with many homes or members: into how many slices their homes and members are dealt, kh and km; kh is 0 where
+    all rows have one label, so that no link is wanted. homes: the rows that are homes, or more columns of them."""
     # Members are counted only where homes are many: beside those few, a group's cost is linear in its members.
-    homes = rows.where("home").groupBy("anchor").agg(F.count("*").alias("homes")).where(F.col("homes") > size // 16)
-    count = join_sized(rows, stored(homes), "anchor", "inner").groupBy("anchor").agg(F.first("homes").alias("homes"), F.count("*").alias("members"))
+    homes = stored(homes.groupBy("anchor").agg(F.count("*").alias("homes")).where(F.col("homes") > size // 16))
+    several = (F.min("label") < F.max("label")) if "label" in rows.columns else F.lit(True)
+    count = join_sized(rows, homes, "anchor", "inner").groupBy("anchor").agg(F.first("homes").alias("homes"), F.count("*").alias("members"), several.alias("several"))
     hot = count.where((F.col("homes") > size) | (F.col("members") > 8 * size))
     kh = F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("homes") / size)).cast("int"))
-    hot = stored(hot.select("anchor", kh.alias("kh"), F.greatest(kh, F.ceil(F.col("members") / (8 * size)).cast("int")).alias("km")))
-    if hot.isEmpty():
-        return rows.withColumn("cell", F.lit(0))
-    kh, km, own = F.col("kh"), F.col("km"), F.xxhash64("fp")
+    km = F.greatest(kh, F.ceil(F.col("members") / (8 * size)).cast("int"))
+    return stored(hot.select("anchor", F.when(F.col("several"), kh).otherwise(F.lit(0)).alias("kh"), km.alias("km")))
+
+
+def _celled(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """rows with a cell: 0, or for hot anchors one cell for each pair of a slice of homes and one of members."""
+    kept = [c for c in rows.columns if c != "home"]
+    kh, km, own = F.col("kh"), F.col("km"), F.xxhash64("id" if "id" in kept else "fp")
     cell = lambda i, j, home: F.struct((i * km + j).cast("int").alias("cell"), F.lit(home).alias("home"))
     # A member stands in the cells of its column; if at home here, in those of its row as well, as a home.
     cells = F.when(kh.isNull(), F.array(F.struct(F.lit(0).alias("cell"), F.col("home").alias("home")))).otherwise(
@@ -138,39 +146,70 @@ def _sliced(rows: DataFrame, size: int) -> DataFrame:
             F.when(F.col("home"), F.transform(F.sequence(F.lit(0), km - 1), lambda j: cell(F.pmod(own, kh), j, True))).otherwise(F.expr("cast(array() as array<struct<cell:int,home:boolean>>)")),
         )
     )
-    return join_sized(rows, hot, "anchor", "left").select("anchor", "fp", F.explode(cells).alias("c")).select("anchor", "fp", "c.home", "c.cell")
-
-
-def _group_links(homes: np.ndarray, members: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """Links that connect all that comparing homes with members connects, no more than there are points."""
-    points, at = np.unique(np.concatenate([homes, members]), return_inverse=True)
-    label, links = np.arange(len(points)), []
-    for i in at[: len(homes)]:
-        near = np.flatnonzero(np.bitwise_count(points ^ points[i]) <= max_bits)
-        others, first = np.unique(label[near], return_index=True)
-        if len(others) > 1:
-            links += [(points[i], points[j]) for j in near[first] if label[j] != label[i]]
-            label[np.isin(label, others)] = others[0]
+    dealt = join_sized(rows, hot, "anchor", "left").where("kh is null or kh > 0")
+    return dealt.select(*kept, F.explode(cells).alias("c")).select(*kept, "c.home", "c.cell")
+
+
+def _sliced(rows: DataFrame, size: int) -> DataFrame:
+    """rows with a cell, see `_celled`; which anchors are hot is found from the rows."""
+    hot = _hot(rows.where("home"), rows, size)
+    return rows.withColumn("cell", F.lit(0)) if hot.isEmpty() else _celled(rows, hot)
+
+
+def _group_links(fp: np.ndarray, ids: np.ndarray, labels: np.ndarray, n_home: int, max_bits: int) -> list[tuple[int, int]]:
+    """Links of ids that connect all labels that comparing homes (the first n_home) with all connects, fewer than there are labels."""
+    label = np.unique(labels, return_inverse=True)[1]
+    apart, links = label.max() + 1, []
+    if apart == 1:
+        return links
+    # Points that share both fingerprint and label are one; homes come first in each such set.
+    order = np.lexsort((np.arange(len(fp)) >= n_home, label, fp))
+    first = np.concatenate(([True], (fp[order][1:] != fp[order][:-1]) | (label[order][1:] != label[order][:-1])))
+    at = order[first]
+    points, ids, label, homes = fp[at], ids[at], label[at], np.flatnonzero(at < n_home)
+    for i in homes:
+        near = np.flatnonzero((np.bitwise_count(points ^ points[i]) <= max_bits) & (label != label[i]))
+        if len(near):
+            others, one = np.unique(label[near], return_index=True)
+            links += [(ids[i], ids[j]) for j in near[one]]
+            label[np.isin(label, others)] = label[i]
+            apart -= len(others)
+            if apart == 1:
+                break
     return links
 
 
 def anchor_links(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """a, b: links between different fingerprints found at the anchors; every: whether all of that anchor's are given."""
+    """a, b: links found at the anchors; every: whether all of that anchor's are given.
+
+    rows: anchor, cell, fp, home. Links are between different fingerprints; if rows have id and label, they are links
+    of ids between different labels.
+    """
     ship(rows.sparkSession)
     key = ["anchor", "cell"]
-    dealt = rows.repartition(*key).sortWithinPartitions(*key, F.desc("home"), "fp")
+    names = [*key, "fp", "home", *(c for c in ("id", "label") if c in rows.columns)]
+    dealt = rows.select(*names).repartition(*key).sortWithinPartitions(*key, F.desc("home"), "fp")
+
+    def given(links):
+        a, b, every = links
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(every)], ["a", "b", "every"])
+
+    def parts(cols):
+        """Fingerprints, ids and labels."""
+        fp = cols[2].astype(np.int64)
+        return (fp.view(np.uint64), *(c.astype(np.int64) for c in cols[4:])) if len(cols) > 4 else (fp.view(np.uint64), fp, fp)
 
     def run(batches):
         rest = None
         for batch in _then_none(batches):
             if batch is not None:
-                cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "cell", "fp", "home")]
+                cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
                 cols = cols if rest is None else [np.concatenate([a, b]) for a, b in zip(rest, cols, strict=True)]
             elif rest is None:
                 return
             else:
                 cols = rest
-            anchor, cell, fp, home = cols
+            anchor, cell, home = cols[0], cols[1], cols[3]
             new = np.flatnonzero((anchor[1:] != anchor[:-1]) | (cell[1:] != cell[:-1])) + 1
             # The last group may go on in the next batch.
             end = len(anchor) if batch is None else (new[-1] if len(new) else 0)
@@ -178,17 +217,16 @@ def anchor_links(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             if not end:
                 if len(anchor) > HELD:
                     at_home = home.astype(bool)
-                    points = fp.astype(np.int64).view(np.uint64)
-                    links = _group_links(points[at_home], points, max_bits)
+                    links = _group_links(*parts(cols), at_home.sum(), max_bits)
                     if links:
-                        a, b = np.array(links, np.uint64).view(np.int64).T
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.zeros(len(a), bool))], ["a", "b", "every"])
+                        a, b = np.array(links, np.int64).T
+                        yield given((a, b, np.zeros(len(a), bool)))
                     rest = [c[at_home] for c in cols]
                 continue
             starts = np.concatenate(([0], new[new < end]))
             sizes = np.diff(np.concatenate((starts, [end])))
             n_home = np.add.reduceat(home[:end].astype(np.int64), starts)
-            fp = fp.astype(np.int64).view(np.uint64)
+            fp, ids, label = parts([c[:end] for c in cols])
             found_a, found_b, found_every = [], [], []
             use = (n_home > 0) & (sizes > 1)
             small = use & (sizes <= 64)
@@ -200,22 +238,22 @@ def anchor_links(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 width = z[group]
                 a = np.repeat(left, width)
                 b = np.repeat(s[group], width) + (np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width))
-                near = (np.bitwise_count(fp[a] ^ fp[b]) <= max_bits) & (fp[a] != fp[b])
-                found_a.append(fp[a][near])
-                found_b.append(fp[b][near])
+                near = (np.bitwise_count(fp[a] ^ fp[b]) <= max_bits) & (label[a] != label[b])
+                found_a.append(ids[a][near])
+                found_b.append(ids[b][near])
                 found_every.append(np.ones(near.sum(), np.int64))
             for i in np.flatnonzero(use & ~small):
                 s, z, h = starts[i], sizes[i], n_home[i]
-                links = _group_links(fp[s : s + h], fp[s : s + z], max_bits)
+                links = _group_links(fp[s : s + z], ids[s : s + z], label[s : s + z], h, max_bits)
                 if links:
-                    a, b = np.array(links, np.uint64).T
+                    a, b = np.array(links, np.int64).T
                     found_a.append(a)
                     found_b.append(b)
                     found_every.append(np.zeros(len(a), np.int64))
             if found_a:
-                a, b = np.concatenate(found_a).view(np.int64), np.concatenate(found_b).view(np.int64)
+                a, b = np.concatenate(found_a), np.concatenate(found_b)
                 pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b), np.concatenate(found_every)], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(pair[:, k])) for k in range(2)), pa.array(pair[:, 2] == 1)], ["a", "b", "every"])
+                yield given((*(np.ascontiguousarray(pair[:, k]) for k in range(2)), pair[:, 2] == 1))
 
     return dealt.mapInArrow(run, "a long, b long, every boolean")
 
@@ -311,28 +349,38 @@ def sketches(df: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:
     return df.select("doc_id", F.xxhash64("text").alias("d"), "text").mapInArrow(run, schema)
 
 
-def meetings(points: DataFrame, slice_size: int = SLICE) -> DataFrame:
-    """s, t: candidates, links by fingerprints that meet at an anchor; points: s, code.
+def meetings(points: DataFrame, slice_size: int = SLICE) -> tuple[DataFrame, DataFrame]:
+    """Candidates (ids a and b, sets s and t) that connect all that fingerprints which meet at an anchor connect, and the
+    classes of ids that they form (node, root); points: id, s, code.
 
-    Of few fingerprints at an anchor all links are given, of many as many as connect them. The former are
-    dropped if the two sets' fingerprints differ in more than FAR_BITS altogether.
+    Sets that the first round connects share a label, and the other rounds give links between different labels only,
+    so that the links of a large class do not come again in each round. Of few fingerprints at an anchor all such links
+    are given, of many as many as connect them. The former are dropped if the two sets' fingerprints differ in more
+    than FAR_BITS altogether.
     """
-    found = None
-    for first in range(0, SERIES, ROUND):
-        own = points.select("s", F.posexplode(F.slice("code", first + 1, ROUND)).alias("series", "fp"))
-        # Of sets with one fingerprint the least stands for all, and is linked to each.
-        nodes = stored(own.groupBy("series", "fp").agg(F.min("s").alias("lead"), (F.count("*") > 1).alias("several")))
-        links = anchor_links(_sliced(anchored(nodes.select("fp", "series")), slice_size), NEAR_BITS)
-        end = lambda c: nodes.groupBy(F.col("fp").alias(c)).agg(F.min("lead").alias(f"s{c}"), F.max("several").alias(f"several_{c}"))
-        met = links.distinct().join(end("a"), "a").join(end("b"), "b").where("sa <> sb")
-        met = met.select(F.least("sa", "sb").alias("s"), F.greatest("sa", "sb").alias("t"), F.expr("every and not several_a and not several_b").alias("every"))
-        shared = own.join(nodes.where("several"), ["series", "fp"]).where("s <> lead").select(F.least("s", "lead").alias("s"), F.greatest("s", "lead").alias("t"), F.lit(False).alias("every"))
-        part = stored(met.union(shared).groupBy("s", "t").agg(F.min("every").alias("every")))
-        found = part if found is None else found.union(part)
-    found = found.groupBy("s", "t").agg(F.min("every").alias("every"))
     far = F.aggregate(F.zip_with("code", "code2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    tested = found.where("every").join(points.select("s", "code"), "s").join(points.select(F.col("s").alias("t"), F.col("code").alias("code2")), "t").where(far <= FAR_BITS)
-    return tested.select("s", "t").union(found.where("not every").select("s", "t"))
+    end = points.select(F.col("id").alias("a"), "s", "code")
+    other = points.select(F.col("id").alias("b"), F.col("s").alias("t"), F.col("code").alias("code2"))
+
+    def met(named: DataFrame, first: int, last: int) -> DataFrame:
+        """a, b, s, t: links of the fingerprints from first to last; named: id, label, code."""
+        own = lambda at, to: named.select("id", "label", F.posexplode(F.slice("code", at + 1, to - at)).alias("series", "fp")).withColumn("series", F.col("series") + at)
+        hot = _hot(anchored(own(first, last), homes_only=True), anchored(own(first, last)), slice_size)
+        even, found = hot.isEmpty(), None
+        for at in range(first, last, ROUND):
+            rows = anchored(own(at, min(at + ROUND, last)))
+            part = stored(anchor_links(rows.withColumn("cell", F.lit(0)) if even else _celled(rows, hot), NEAR_BITS))
+            found = part if found is None else found.union(part)
+        found = found.groupBy("a", "b").agg(F.min("every").alias("every"))
+        return stored(found.join(end, "a").join(other, "b").where(~F.col("every") | (far <= FAR_BITS)).select("a", "b", "s", "t"))
+
+    start = met(points.select("id", F.col("id").alias("label"), "code"), 0, FIRST)
+    labels = components(start.select("a", "b"))
+    named = stored(points.join(labels.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("label"), "code"))
+    more = met(named, FIRST, SERIES)
+    drop_stored(named)
+    classes = components(more.select("a", "b").union(labels.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    return start.union(more), classes
 
 
 def shingle_sets(df: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -418,12 +466,14 @@ def near_copies(df: DataFrame, shingle: int = COPY_SHINGLE, members: int = MEMBE
     with two leads of its class (the set that is a candidate with most others, and that of the least hash). Classes
     that those links leave in several parts are compared whole inside the tasks. Only exact similarity makes a link.
     """
-    prints = stored(sketches(df, shingle))
-    points = stored(prints.drop("doc_id").where("n > 0").dropDuplicates(["s"]))
-    found = stored(meetings(points))
-    score = found.select(F.explode(F.array("s", "t")).alias("s")).groupBy("s").agg(F.count("*").alias("score"))
-    classes = stored(components(found.select(F.col("s").alias("a"), F.col("t").alias("b"))))
-    shared = stored(score.join(classes.withColumnRenamed("node", "s"), "s", "left").select("s", "score", F.coalesce("root", "s").alias("key")))
+    coded = stored(sketches(df, shingle))
+    points = stored(coded.drop("doc_id").where("n > 0").dropDuplicates(["s"]).withColumn("id", F.monotonically_increasing_id()))
+    prints = stored(coded.select("doc_id", "d", "s"))
+    drop_stored(coded)
+    found, classes = meetings(points)
+    ends = F.array(F.struct(F.col("a").alias("id"), "s"), F.struct(F.col("b").alias("id"), F.col("t").alias("s")))
+    score = found.select(F.inline(ends)).groupBy("id", "s").agg(F.count("*").alias("score"))
+    shared = stored(score.join(classes.withColumnRenamed("node", "id"), "id", "left").select("s", "score", F.coalesce("root", "id").alias("key")))
     lead = lambda order: F.max_by("s", order)
     leads = stored(shared.groupBy("key").agg(lead(F.struct("score", "s")).alias("lead0"), lead(F.xxhash64("s")).alias("lead1")))
     led = join_sized(shared, leads, "key", "inner").select("s", F.explode(F.array("lead0", "lead1")).alias("lead")).where("s <> lead")
@@ -443,7 +493,7 @@ def near_copies(df: DataFrame, shingle: int = COPY_SHINGLE, members: int = MEMBE
         full = placed.join(facts.select("s", "code").join(sets, "s"), "s")
         links = links.union(stored(open_links(full)))
         roots = stored(components(links).withColumnRenamed("node", "s"))
-    return prints.select("doc_id", "d", "s").join(roots, "s", "left").select("doc_id", "d", F.coalesce("root", "s").alias("root"))
+    return prints.join(roots, "s", "left").select("doc_id", "d", F.coalesce("root", "s").alias("root"))
 
 
 def deduplicated(df: DataFrame, shingle: int = COPY_SHINGLE) -> DataFrame:

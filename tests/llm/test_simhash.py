@@ -170,3 +170,27 @@ def test_near_copies_meet_at_anchors_only(spark, documents, monkeypatch):
     assert a == b != c
     monkeypatch.setattr(simhash, "anchor_links", lambda rows, max_bits: spark.createDataFrame([], "a long, b long, every boolean"))
     assert len(set(roots())) == 3
+
+
+def test_later_rounds_give_no_links_inside_a_class(spark, documents, monkeypatch):
+    # 150 near copies meet at anchors in each round; only the first may link all of them.
+    df, given, links = documents(list(family(random.Random(3), 150, (1, 2), 400))), [], simhash.anchor_links
+    monkeypatch.setattr(simhash, "ROUND", simhash.SERIES)
+
+    def counted(rows, max_bits):
+        out = links(rows, max_bits)
+        given.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "anchor_links", counted)
+    assert len({r.root for r in simhash.near_copies(df).collect()}) == 1
+    assert sum(given) < 150 * 32
+
+
+def test_group_links_between_labels_only():
+    fp = np.array([0, 1, 1, 3, (1 << 64) - 1], np.uint64)
+    ids = np.arange(5, dtype=np.int64)
+    joined = lambda labels, n_home: simhash._group_links(fp, ids, np.array(labels), n_home, 3)
+    assert joined([7, 7, 7, 7, 7], 5) == []
+    assert [tuple(map(int, x)) for x in joined([7, 7, 7, 9, 9], 1)] == [(0, 3)]
+    assert len(joined([0, 1, 2, 3, 4], 1)) == 3
